@@ -19,6 +19,8 @@ RANK_DIGITS = 6
 INNER = "inner"
 L2 = "l2"
 METRICS = (INNER, L2)
+# Only for scoring against one vector; searches normalise first and use the inner product.
+COSINE = "cosine"
 
 
 def _sum(items: Column) -> Column:
@@ -117,17 +119,24 @@ def rank_keys(gain: np.ndarray, digits: int = RANK_DIGITS) -> np.ndarray:
 
 
 def score_against(vector: np.ndarray, metric: str):
-    """Arrow function scoring each row against one fixed vector."""
+    """Arrow function scoring each row against one fixed vector.
+
+    The cosine of a zero vector is null.
+    """
     fixed = np.asarray(vector, dtype=np.float64)[None, :]
 
     @F.arrow_udf("double")
     def score(vectors: pa.Array) -> pa.Array:
         present, matrix = dense(vectors)
         out = np.full(len(vectors), np.nan)
-        if len(present):
-            gain = gains(fixed, matrix, metric)[0]
-            out[present] = gain if metric == INNER else -gain
-        return pa.array(out, mask=~np.asarray(vectors.is_valid()))
+        if len(present) and metric == L2:
+            out[present] = -gains(fixed, matrix, L2)[0]
+        elif len(present):
+            out[present] = gains(fixed, matrix, INNER)[0]
+        if len(present) and metric == COSINE:
+            lengths = np.sqrt((matrix**2).sum(1) * (fixed**2).sum())
+            out[present] /= np.where(lengths > 0, lengths, np.nan)
+        return pa.array(out, mask=np.isnan(out))
 
     return score
 

@@ -30,6 +30,7 @@ def number_rows(
 
     ``order_by`` must end in a unique tiebreak. Only order and key columns are range-partitioned
     and pinned; one count per partition reaches the driver, and the wide columns join back by key.
+    A repeated key is an error.
     """
     spark = df.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,6 +42,9 @@ def number_rows(
         # High bits: partition in range order. Low bits: place inside the sorted partition.
         .select(*key, F.monotonically_increasing_id().alias("_slot"))
     )
+    repeated = located.groupBy(*key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"key {list(key)} is not unique: {repeated[0]}")
     part = F.shiftright("_slot", INDEX_BITS).cast("int")
     counted = located.groupBy(part.alias("part")).agg(F.count("*").alias("size")).collect()
     sizes = {row["part"]: row["size"] for row in counted}
@@ -51,7 +55,7 @@ def number_rows(
     before = F.get(F.lit(starts).cast("array<bigint>"), part)
     place = F.col("_slot").bitwiseAND(F.lit((1 << INDEX_BITS) - 1))
     positions = located.select(*key, (before + place).alias(name))
-    if set(df.columns) == set(key):
+    if set(df.columns) <= set(key):
         return positions.select(*df.columns, name)
     return df.join(positions, list(key)).select(*df.columns, name)
 
@@ -95,6 +99,16 @@ def split_work(df: DataFrame, pieces: int) -> DataFrame:
     return df.repartition(pieces)
 
 
+def split_narrow(df: DataFrame, key: str, pieces: int | None = None) -> DataFrame:
+    """Spread a scan by ``key``, but only when it has fewer splits than there are cores.
+
+    Large tables have many splits and pass unchanged, without a shuffle. Meant for plain scans:
+    counting the splits of a plan with joins or groupings would run them.
+    """
+    wanted = pieces or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, key)
+
+
 def sort_desc(
     df: DataFrame, score: str, row_id: str, numbered: bool = False, key: Sequence[str] | None = None
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from claimlode.functions.text import (
     publication_digits,
     unpack_list,
 )
-from claimlode.functions.vectors import INNER, cosine
+from claimlode.functions.vectors import COSINE, INNER
 from claimlode.operators.joins import attach_external, id_difference, keep_in_list, left_join_1n
 from claimlode.operators.search import first_occurrence, pick_query, rank_all, rerank, topk_distinct
 
@@ -79,7 +79,7 @@ def first_n_unique(
 ) -> DataFrame:
     """The first ``n`` distinct non-null keys per group, in position order, ranked from 1."""
     firsts = first_occurrence(df.where(F.col(key).isNotNull()), group, key, (position,))
-    return rerank(firsts, group, (position,), n)
+    return rerank(firsts, group, (position, key), n)
 
 
 def external_lists(
@@ -131,10 +131,7 @@ def one_vs_list_direct(
     claims = list_with_claims(ids, corpus).where(~is_blank(F.col(claim)))
     place = F.struct("pos", "row_id").alias("_place")
     first = pick_query(claims.select(place, "embedding"), "_place", "embedding")
-    scored = claims.where(F.col("embedding").isNotNull()).withColumn(
-        "similarity_to_first", cosine(F.col("embedding"), first.select("embedding").scalar())
-    )
-    kept = scored.drop("embedding")
+    kept = rank_all(first, claims, COSINE, name="similarity_to_first").drop("embedding")
     return kept.orderBy(F.desc("similarity_to_first"), "pos", "row_id") if sort else kept
 
 
