@@ -241,7 +241,7 @@ for _name in ("publication_digits", "publication_core", "normalize_id"):
 @query
 def filter_ids(spark, root):
     labels = views.table(spark, root, "labels")
-    patent = (F.lit(1_000_000) + F.floor(F.col("doc_id") / 4)).cast("string").alias("patent_id")
+    patent = F.expr("string(1000000 + doc_id div 4)").alias("patent_id")
     good = labels.where("quality = 1").select(patent)
     bad = labels.where("toxic = 1").select(patent)
     kept = joins.filter_ids(views.claims(spark, root), good, bad, "patent_id")
@@ -266,7 +266,7 @@ def _vector_pairs(spark, root):
     right = views.corpus(spark, root).select(
         F.col("row_id").alias("half"), F.col("embedding").alias("b")
     )
-    return left.withColumn("half", F.floor(F.col("row_id") / 2)).join(right, "half")
+    return left.withColumn("half", F.expr("row_id div 2")).join(right, "half")
 
 
 def _pair_rule(name, rule):
@@ -312,8 +312,8 @@ def drop_nulls(spark, root):
 
 @query
 def left_join_1n(spark, root):
-    claims = views.cleaned_claims(spark, root).select("patent_id", "row_id", "cleaned_claim")
-    return joins.left_join_1n(views.listed_patents(spark, root), claims, "patent_id")
+    listed, claims = views.listed_patents(spark, root), views.claim_table(spark, root)
+    return joins.left_join_1n(listed, claims, "patent_id")
 
 
 def _sides(spark, root):
@@ -426,8 +426,7 @@ def topk_l2(spark, root):
 @query
 def attach_metadata(spark, root):
     hits = search.topk_inner(views.queries(spark, root), views.corpus(spark, root), 10)
-    meta = views.cleaned_claims(spark, root).select("row_id", "patent_id", "cleaned_claim")
-    found = joins.attach_metadata(hits, meta)
+    found = joins.attach_metadata(hits, views.claim_table(spark, root))
     return found.select("query_id", "rank", "row_id", "patent_id", "cleaned_claim")
 
 
@@ -497,7 +496,8 @@ def search_text(spark, root):
     asked = views.table(spark, root, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query")
     )
-    found = searches.search_text(asked, views.encoded_claims(spark, root), views.encode)
+    claims = views.stored(views.encoded_claims(spark, root), "claims")
+    found = searches.search_text(asked, claims, views.encode)
     return found.withColumn("score", vc.rounded(F.col("score")))
 
 
@@ -593,13 +593,21 @@ def encode_once(spark, root):
 # ---- evaluation -------------------------------------------------------------------------------
 
 
+def _retrieval_tables(spark, root):
+    """Embed first, then search the stored vectors."""
+    return (
+        views.stored(views.check_table(spark, root), "check"),
+        views.stored(views.encoded_claims(spark, root), "claims"),
+    )
+
+
 def _checked(spark, root):
-    return evaluate.similarity_log(views.check_table(spark, root), views.encoded_claims(spark, root))
+    return evaluate.similarity_log(*_retrieval_tables(spark, root))
 
 
 @query
 def self_retrieval(spark, root):
-    return evaluate.self_retrieval(views.check_table(spark, root), views.encoded_claims(spark, root))
+    return evaluate.self_retrieval(*_retrieval_tables(spark, root))
 
 
 @query
@@ -623,6 +631,6 @@ def one_vs_list_ranked(spark, root):
 
 @query
 def one_vs_list_direct(spark, root):
-    claims = views.encoded_claims(spark, root).drop("claim_no")
-    scored = evaluate.one_vs_list_direct(views.listed_patents(spark, root), claims)
+    claims = views.claim_table(spark, root)
+    scored = evaluate.one_vs_list_direct(views.listed_patents(spark, root), claims, views.encode)
     return scored.select("pos", "row_id", "patent_id", "cleaned_claim", _score("similarity_to_first"))

@@ -9,6 +9,7 @@ from claimlode.functions.text import clean_claim
 from claimlode.operators.cells import cell_centroids
 from claimlode.operators.encode import hash_encoder
 from claimlode.operators.numbering import split_narrow
+from claimlode.session import shared_path
 from claimlode.sources.tables import read_claims
 
 DIM = 64
@@ -34,7 +35,7 @@ def as_claims(docs: DataFrame) -> DataFrame:
     )
     return docs.select(
         doc.alias("row_id"),
-        (F.lit(1_000_000) + F.floor(doc / 4)).cast("string").alias("patent_id"),
+        F.expr("string(1000000 + doc_id div 4)").alias("patent_id"),
         (doc % 4).cast("int").alias("claim_no"),
         F.when(doc % 97 != 0, decorated).alias("claim_text"),
     )
@@ -53,6 +54,19 @@ def encode(df: DataFrame, text: str) -> DataFrame:
     return hash_encoder(df, text, DIM)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a parquet table in the shared folder, so that texts are encoded only once."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def claim_table(spark: SparkSession, root: str) -> DataFrame:
+    """The stored text table of an embedding job: row id, patent and cleaned claim."""
+    rows = cleaned_claims(spark, root).select("row_id", "patent_id", "cleaned_claim")
+    return stored(rows, "claims")
+
+
 def encoded_claims(spark: SparkSession, root: str) -> DataFrame:
     return encode(cleaned_claims(spark, root), "cleaned_claim").drop("claim_text")
 
@@ -69,7 +83,7 @@ def corpus(spark: SparkSession, root: str) -> DataFrame:
     """Five vectors per patent."""
     return table(spark, root, "embeddings").select(
         F.col("vec_id").alias("row_id"),
-        (F.lit(1_000_000) + F.floor(F.col("vec_id") / 5)).cast("string").alias("patent_id"),
+        F.expr("string(1000000 + vec_id div 5)").alias("patent_id"),
         "label",
         "embedding",
     )
@@ -84,7 +98,7 @@ def queries(spark: SparkSession, root: str) -> DataFrame:
 def external(spark: SparkSession, root: str) -> DataFrame:
     """Outside result lists: one per supplier, its order lines in order, some without a number."""
     part = F.col("l_partkey")
-    number = F.concat(F.lit("US"), (F.lit(1_000_000) + F.floor(part / 4)).cast("string"), F.lit("B2"))
+    number = F.expr("concat('US', string(1000000 + l_partkey div 4), 'B2')")
     return table(spark, root, "lineitem").select(
         F.col("l_suppkey").cast("bigint").alias("query_id"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("pos"),
@@ -125,7 +139,7 @@ def listed_patents(spark: SparkSession, root: str) -> DataFrame:
 def metadata_batches(spark: SparkSession, root: str) -> DataFrame:
     """Text rows of the claims, cut by row id."""
     return cleaned_claims(spark, root).select(
-        F.floor(F.col("row_id") / BATCH_ROWS).cast("int").alias("batch_id"),
+        F.expr(f"int(row_id div {BATCH_ROWS})").alias("batch_id"),
         (F.col("row_id") % BATCH_ROWS).alias("pos"),
         "patent_id",
         "cleaned_claim",
@@ -135,7 +149,7 @@ def metadata_batches(spark: SparkSession, root: str) -> DataFrame:
 def vector_batches(spark: SparkSession, root: str) -> DataFrame:
     """Vector rows, cut alike; there are fewer of them, so later batches lack or mismatch."""
     return corpus(spark, root).select(
-        F.floor(F.col("row_id") / BATCH_ROWS).cast("int").alias("batch_id"),
+        F.expr(f"int(row_id div {BATCH_ROWS})").alias("batch_id"),
         (F.col("row_id") % BATCH_ROWS).alias("pos"),
         "embedding",
     )

@@ -1,7 +1,8 @@
 """Vector columns: ``array<float>`` in, computed in double.
 
 The lambda forms suit per-row projections. Scoring many rows against given vectors goes through
-the Arrow functions at the end, where one matrix product handles a whole batch.
+the Arrow functions at the end, where one matrix product handles a whole batch. Those are marked
+nondeterministic so that the optimizer never evaluates them a second time inside a filter.
 """
 
 from __future__ import annotations
@@ -138,7 +139,7 @@ def score_against(vector: np.ndarray, metric: str):
             out[present] /= np.where(lengths > 0, lengths, np.nan)
         return pa.array(out, mask=np.isnan(out))
 
-    return score
+    return score.asNondeterministic()
 
 
 def nearest_ids(ids: np.ndarray, matrix: np.ndarray, metric: str, count: int):
@@ -163,4 +164,4 @@ def nearest_ids(ids: np.ndarray, matrix: np.ndarray, metric: str, count: int):
         )
         return pc.if_else(vectors.is_valid(), lists, pa.scalar(None, lists.type))
 
-    return nearest
+    return nearest.asNondeterministic()

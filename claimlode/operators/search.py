@@ -27,8 +27,8 @@ from claimlode.functions.vectors import (
 )
 from claimlode.session import pinned
 
-# Queries broadcast at once. 8192 queries of 384 doubles are 25 MB; more queries make more blocks.
-BLOCK_QUERIES = 8_192
+# Queries broadcast at once. 16384 queries of 384 doubles are 50 MB; more queries make more blocks.
+BLOCK_QUERIES = 16_384
 # Score cells computed at once inside a task (32 MB of doubles).
 TILE_CELLS = 4_000_000
 # Rounding moves a score by at most half a step; one step of slack keeps every possible tie.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from claimlode.functions.vectors import COSINE, INNER
 from claimlode.operators.joins import attach_external, id_difference, keep_in_list, left_join_1n
 from claimlode.operators.search import first_occurrence, pick_query, rank_all, rerank, topk_distinct
 
+Encode = Callable[[DataFrame, str], DataFrame]
+
 TOP_PATENTS = 10
 OVERFETCH = 5
 EXTERNAL_ITEMS = 100
@@ -122,16 +126,22 @@ def list_with_claims(ids: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def one_vs_list_direct(
-    ids: DataFrame, corpus: DataFrame, claim: str = "cleaned_claim", sort: bool = True
+    ids: DataFrame,
+    corpus: DataFrame,
+    encode: Encode,
+    claim: str = "cleaned_claim",
+    sort: bool = True,
 ) -> DataFrame:
     """Listed, non-blank claims with their cosine to the list's first claim, best first.
 
     ``ids`` has pos and patent_id; the first claim is that of lowest pos, then lowest row id.
+    Only the listed claims are encoded.
     """
     claims = list_with_claims(ids, corpus).where(~is_blank(F.col(claim)))
     place = F.struct("pos", "row_id").alias("_place")
-    first = pick_query(claims.select(place, "embedding"), "_place", "embedding")
-    kept = rank_all(first, claims, COSINE, name="similarity_to_first").drop("embedding")
+    first = encode(pick_query(claims.select(place, claim), "_place", claim), claim)
+    scored = rank_all(first, encode(claims, claim), COSINE, name="similarity_to_first")
+    kept = scored.drop("embedding")
     return kept.orderBy(F.desc("similarity_to_first"), "pos", "row_id") if sort else kept
 
 
