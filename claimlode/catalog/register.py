@@ -175,6 +175,7 @@ def ingest_stream(spark, root):
         views.encode,
         prepare=views.as_claims,
         pattern="documents.parquet",
+        spread_by="row_id",
     )
     total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
     return spark.read.parquet(target).select(

@@ -126,14 +126,12 @@ def numbers(spark: SparkSession, root: str) -> DataFrame:
 
 
 def listed_patents(spark: SparkSession, root: str) -> DataFrame:
-    """All outside results as one list: each patent once, at its first position."""
-    digits = F.regexp_extract("publication_number", r"([0-9]+)", 1)
-    return (
-        external(spark, root)
-        .where(F.col("publication_number").isNotNull())
-        .groupBy(digits.alias("patent_id"))
-        .agg(F.min("pos").alias("pos"))
+    """The patents of all outside results as one list: each once, at its first position."""
+    numbered = table(spark, root, "lineitem").where("l_partkey % 11 <> 0")
+    firsts = numbered.groupBy(F.expr("1000000 + l_partkey div 4").alias("number")).agg(
+        F.min(F.expr("bigint(l_orderkey * 8 + l_linenumber)")).alias("pos")
     )
+    return stored(firsts.select(F.col("number").cast("string").alias("patent_id"), "pos"), "list")
 
 
 def metadata_batches(spark: SparkSession, root: str) -> DataFrame:

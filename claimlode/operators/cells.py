@@ -18,7 +18,6 @@ from claimlode.session import pinned
 
 # Centroid tables above this size do not belong in a broadcast.
 MAX_CENTROIDS = 100_000
-ROWS_PER_FILE = 500_000
 
 
 def train_cells(
@@ -81,26 +80,14 @@ def assign_cells(
     return found.withColumn("cell", F.element_at("cells", 1)).drop("cells")
 
 
-def write_cells(
-    assigned: DataFrame, path: str, row_id: str = "row_id", rows_per_file: int = ROWS_PER_FILE
-) -> None:
+def write_cells(assigned: DataFrame, path: str) -> None:
     """Lay the corpus out as one folder per cell.
 
-    A big cell is cut into several files of about ``rows_per_file`` rows, so no task writes a
-    whole hot cell. There is one row per cell in the size table.
+    The rebalance hint gathers each cell's rows and lets the adaptive planner cut a hot cell into
+    several tasks, and so files, of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    sizes = assigned.groupBy("cell").agg(
-        F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files")
-    )
-    piece = F.pmod(F.xxhash64(row_id), F.col("_files")).alias("_piece")
-    cut = assigned.join(F.broadcast(sizes), "cell").withColumn("_piece", piece)
-    (
-        cut.repartition("cell", "_piece")
-        .drop("_files", "_piece")
-        .write.mode("overwrite")
-        .partitionBy("cell")
-        .parquet(path)
-    )
+    gathered = assigned.hint("rebalance", F.col("cell"))
+    gathered.write.mode("overwrite").partitionBy("cell").parquet(path)
 
 
 def probe_join(probes: DataFrame, cells: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlode.functions.text import strip_space
+from claimlode.session import pinned
 
 # A key holding more rows than this is spread over several tasks.
 SPREAD_ROWS = 1_000_000
@@ -24,14 +25,16 @@ def spread_join(
     how: str = "inner",
     spread_by: Sequence[str] = (),
     hot_rows: int = SPREAD_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` where single keys may hold a large part of ``many``.
 
     Hot keys are cut into slices of about ``hot_rows`` rows and only their rows of ``few`` are
     repeated, once per slice. ``how`` is 'inner' or 'left' (keeps all of ``many``). At most
     ``SPREAD_SHARE`` keys can pass the threshold, so broadcasting the hot-key list is bounded.
+    ``rows`` is the size of ``many`` when the caller has counted it already.
     """
-    total = many.count()
+    total = many.count() if rows is None else rows
     if total <= hot_rows:
         return many.join(few, key, how)
     limit = max(hot_rows, total // SPREAD_SHARE)
@@ -44,10 +47,10 @@ def spread_join(
     )
     # The partition id spreads even rows that are equal in every column.
     row_hash = F.xxhash64(*(spread_by or many.columns), F.spark_partition_id())
-    slices = F.coalesce("_slices", F.lit(1))
+    slices = F.coalesce("_slices", F.lit(1)).cast("bigint")
     cut = many.join(F.broadcast(hot), key, "left").withColumn("_slice", F.pmod(row_hash, slices))
     repeated = few.join(F.broadcast(hot), key, "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), slices - 1)).cast("bigint")
+        "_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1))
     )
     joined = cut.drop("_slices").join(repeated.drop("_slices"), [key, "_slice"], how)
     return joined.drop("_slice")
@@ -141,16 +144,19 @@ def exact_text_match(
     two big collections of copies use :func:`match_groups`.
     """
     keyed_a, keyed_b = _with_key(a, text), _with_key(b, text)
-    common = keyed_a.select("text_key").distinct().join(
-        keyed_b.select("text_key").distinct(), "text_key", "left_semi"
+    common = pinned(
+        keyed_a.groupBy("text_key")
+        .agg(F.count("*").alias("rows_a"))
+        .join(keyed_b.select("text_key").distinct(), "text_key", "left_semi")
     )
+    rows_a = common.agg(F.coalesce(F.sum("rows_a"), F.lit(0))).first()[0]
     left = keyed_a.join(common, "text_key", "left_semi").select(
         "text_key", F.col(id_col).alias("patent_a"), F.col(text).alias("matched_claim")
     )
     right = keyed_b.join(common, "text_key", "left_semi").select(
         "text_key", F.col(id_col).alias("patent_b")
     )
-    pairs = spread_join(left, right, "text_key", **spread)
+    pairs = spread_join(left, right, "text_key", rows=rows_a, **spread)
     return pairs.select("patent_a", "patent_b", "matched_claim")
 
 

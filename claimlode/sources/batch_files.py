@@ -88,19 +88,14 @@ def read_metadata_batches(
     return _files(spark, path, pattern).mapInArrow(parse, f"batch_id int, pos bigint, {text}")
 
 
-def write_batches(
-    df: DataFrame, path: str, batch: str = "batch_id", files_per_batch: int = 1, spread_by: str = ""
-) -> None:
+def write_batches(df: DataFrame, path: str, batch: str = "batch_id") -> None:
     """One folder per batch; writing a batch again replaces just that batch.
 
-    Batches of bounded size go to one file each; for bigger ones set ``files_per_batch`` and the
-    row id that spreads them.
+    The rebalance hint puts a batch into one file unless it is large: then the adaptive planner
+    cuts it by size.
     """
-    keys = [F.col(batch)]
-    if files_per_batch > 1:
-        keys.append(F.pmod(F.xxhash64(spread_by), F.lit(files_per_batch)))
     (
-        df.repartition(*keys)
+        df.hint("rebalance", F.col(batch))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(batch)
