@@ -25,7 +25,7 @@ def documents(spark: SparkSession, root: str, *extra: str) -> DataFrame:
     return read_claims(spark, path, ("doc_id", "text", *extra))
 
 
-def as_claims(docs: DataFrame) -> DataFrame:
+def as_claims(docs: DataFrame, *extra: str) -> DataFrame:
     """Four claims per patent; some carry a tag, some the set phrase, some are null."""
     doc = F.col("doc_id")
     decorated = F.concat(
@@ -38,12 +38,13 @@ def as_claims(docs: DataFrame) -> DataFrame:
         F.expr("string(1000000 + doc_id div 4)").alias("patent_id"),
         (doc % 4).cast("int").alias("claim_no"),
         F.when(doc % 97 != 0, decorated).alias("claim_text"),
+        *extra,
     )
 
 
-def claims(spark: SparkSession, root: str) -> DataFrame:
+def claims(spark: SparkSession, root: str, *extra: str) -> DataFrame:
     """The claims, on all cores even where the file is a single split."""
-    return as_claims(split_narrow(documents(spark, root), "doc_id"))
+    return as_claims(split_narrow(documents(spark, root, *extra), "doc_id"), *extra)
 
 
 def cleaned_claims(spark: SparkSession, root: str) -> DataFrame:

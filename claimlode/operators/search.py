@@ -311,6 +311,9 @@ def first_occurrence(
     df: DataFrame, group: str, key: str, order: tuple[str, ...], carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Each key once per group, at its smallest ``order``, with the carried columns of that row."""
+    if len(order) == 1 and not set(carry) - set(order):
+        # A plain minimum aggregates by hash; a struct minimum would sort.
+        return df.groupBy(group, key).agg(F.min(order[0]).alias(order[0]))
     first = F.min(F.struct(*order, *[name for name in carry if name not in order]))
     return df.groupBy(group, key).agg(first.alias("_first")).select(group, key, "_first.*")
 

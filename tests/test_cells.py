@@ -39,7 +39,7 @@ def test_training_is_repeatable(data, trained):
 
 
 @pytest.mark.parametrize("metric", ["inner", "l2"])
-@pytest.mark.parametrize("block_queries", [10_000, 50])
+@pytest.mark.parametrize("block_queries", [10_000, 300])
 def test_all_cells_probed_equals_exact_search(data, trained, metric, block_queries):
     queries, corpus = data
     assigned = cells.assign_cells(corpus, trained, metric)
@@ -49,7 +49,7 @@ def test_all_cells_probed_equals_exact_search(data, trained, metric, block_queri
     assert rows(got) == rows(search.topk(queries, corpus, 5, metric))
 
 
-@pytest.mark.parametrize("block_queries", [10_000, 40])
+@pytest.mark.parametrize("block_queries", [10_000, 100])
 def test_one_probe_is_exact_inside_the_cell(data, trained, block_queries):
     queries, corpus = data
     assigned = cells.assign_cells(corpus, trained)
