@@ -38,7 +38,7 @@ corpus AS MATERIALIZED (
 EXTERNAL = """
 external AS (
   SELECT l_suppkey::BIGINT AS query_id, (l_orderkey * 8 + l_linenumber)::BIGINT AS pos,
-         CASE WHEN l_partkey % 11 <> 0
+         CASE WHEN l_returnflag <> 'R'
               THEN concat('US', CAST(1000000 + l_partkey // 4 AS VARCHAR), 'B2') END
            AS publication_number
   FROM lineitem)"""

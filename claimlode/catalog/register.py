@@ -518,6 +518,12 @@ def _celled(spark, root):
     return cells.assign_cells(views.corpus(spark, root), views.label_centroids(spark, root))
 
 
+def _stored_cells(spark, root):
+    path = shared_path(spark, "cells")
+    cells.write_cells(_celled(spark, root), path)
+    return spark.read.parquet(path)
+
+
 @query
 def assign_cells(spark, root):
     return _celled(spark, root).select("row_id", "patent_id", "cell")
@@ -525,9 +531,7 @@ def assign_cells(spark, root):
 
 @query
 def write_cells(spark, root):
-    path = shared_path(spark, "cells")
-    cells.write_cells(_celled(spark, root), path)
-    return spark.read.parquet(path).select("row_id", "patent_id", "cell")
+    return _stored_cells(spark, root).select("row_id", "patent_id", "cell")
 
 
 @query
@@ -535,14 +539,13 @@ def probe_join(spark, root):
     probes = cells.nearest_cells(
         _first_of_list(spark, root), views.label_centroids(spark, root), 3, vc.INNER
     ).select(F.explode("cells").alias("cell"))
-    return cells.probe_join(probes, _celled(spark, root)).select("row_id", "patent_id", "cell")
+    kept = cells.probe_join(probes, _stored_cells(spark, root))
+    return kept.select("row_id", "patent_id", "cell")
 
 
 def _cell_search(spark, root, nprobe):
     """Search over the stored cell layout."""
-    path = shared_path(spark, "cells")
-    cells.write_cells(_celled(spark, root), path)
-    stored, centroids = spark.read.parquet(path), views.label_centroids(spark, root)
+    stored, centroids = _stored_cells(spark, root), views.label_centroids(spark, root)
     return _hits(cells.search_cells(views.queries(spark, root), stored, centroids, 10, nprobe))
 
 

@@ -97,13 +97,12 @@ def queries(spark: SparkSession, root: str) -> DataFrame:
 
 
 def external(spark: SparkSession, root: str) -> DataFrame:
-    """Outside result lists: one per supplier, its order lines in order, some without a number."""
-    part = F.col("l_partkey")
+    """Outside result lists: one per supplier, its order lines in order; returned ones lack a number."""
     number = F.expr("concat('US', string(1000000 + l_partkey div 4), 'B2')")
     return table(spark, root, "lineitem").select(
         F.col("l_suppkey").cast("bigint").alias("query_id"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("pos"),
-        F.when(part % 11 != 0, number).alias("publication_number"),
+        F.when(F.col("l_returnflag") != "R", number).alias("publication_number"),
     )
 
 
@@ -128,7 +127,7 @@ def numbers(spark: SparkSession, root: str) -> DataFrame:
 
 def listed_patents(spark: SparkSession, root: str) -> DataFrame:
     """The patents of all outside results as one list: each once, at its first position."""
-    numbered = table(spark, root, "lineitem").where("l_partkey % 11 <> 0")
+    numbered = table(spark, root, "lineitem").where("l_returnflag <> 'R'")
     firsts = numbered.groupBy(F.expr("1000000 + l_partkey div 4").alias("number")).agg(
         F.min(F.expr("bigint(l_orderkey * 8 + l_linenumber)")).alias("pos")
     )

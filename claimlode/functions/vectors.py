@@ -143,25 +143,33 @@ def score_against(vector: np.ndarray, metric: str):
 
 
 def nearest_ids(ids: np.ndarray, matrix: np.ndarray, metric: str, count: int):
-    """Arrow function giving the ``count`` best of a few fixed vectors per row, best first."""
+    """Arrow function giving the ``count`` best of some fixed vectors per row, best first.
+
+    Each entry holds its sort key and the vector's number, so that lists from several blocks of
+    fixed vectors can be merged by sorting.
+    """
     order = np.argsort(ids, kind="stable")
     labels, points = np.asarray(ids)[order].astype(np.int32), np.asarray(matrix)[order]
     count = min(count, len(labels))
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<struct<key: bigint, cell: int>>")
     def nearest(vectors: pa.Array) -> pa.Array:
         present, rows = dense(vectors)
-        offsets = np.zeros(len(vectors) + 1, dtype=np.int32)
-        offsets[1:][present] = count
-        picks = np.empty((len(present), count), dtype=np.int32)
+        best = np.empty((len(present), count), dtype=np.int64)
+        keys = np.empty((len(present), count), dtype=np.int64)
         step = max(1, 4_000_000 // len(labels))
         for start in range(0, len(present), step):
-            keys = rank_keys(gains(rows[start : start + step], points, metric))
-            best = np.argsort(keys, axis=1, kind="stable")[:, :count]
-            picks[start : start + step] = labels[best]
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.cumsum(offsets), pa.int32()), pa.array(picks.ravel())
+            part = slice(start, start + step)
+            all_keys = rank_keys(gains(rows[part], points, metric))
+            best[part] = np.argsort(all_keys, axis=1, kind="stable")[:, :count]
+            keys[part] = np.take_along_axis(all_keys, best[part], axis=1)
+        lengths = np.zeros(len(vectors) + 1, dtype=np.int32)
+        lengths[1:][present] = count
+        pairs = pa.StructArray.from_arrays(
+            [pa.array(keys.ravel()), pa.array(labels[best.ravel()])], names=["key", "cell"]
         )
-        return pc.if_else(vectors.is_valid(), lists, pa.scalar(None, lists.type))
+        missing = ~np.asarray(vectors.is_valid())
+        ends = pa.array(np.cumsum(lengths), pa.int32())
+        return pa.ListArray.from_arrays(ends, pairs, mask=pa.array(missing))
 
     return nearest.asNondeterministic()

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlode.functions.vectors import INNER, L2, dense, nearest_ids
-from claimlode.operators.search import BLOCK_QUERIES, QueryBlock, _merge, _scan
+from claimlode.operators.search import BLOCK_QUERIES, QueryBlock, _merge, _scan, query_blocks
 from claimlode.session import pinned
 
-# Centroid tables above this size do not belong in a broadcast.
-MAX_CENTROIDS = 100_000
+# Centroids handed to the tasks at once.
+BLOCK_CENTROIDS = 16_384
 
 
 def train_cells(
@@ -56,20 +56,27 @@ def cell_centroids(df: DataFrame, cell: str = "cell", vector: str = "embedding")
     )
 
 
-def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = centroids.select("cell", "centroid").limit(MAX_CENTROIDS + 1).toArrow()
-    if table.num_rows > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} centroids")
-    _, matrix = dense(table.column("centroid").combine_chunks())
-    return table.column("cell").to_numpy(), matrix
-
-
 def nearest_cells(
-    df: DataFrame, centroids: DataFrame, count: int, metric: str, vector: str = "embedding"
+    df: DataFrame,
+    centroids: DataFrame,
+    count: int,
+    metric: str,
+    vector: str = "embedding",
+    block_centroids: int = BLOCK_CENTROIDS,
 ) -> DataFrame:
-    """Add ``cells``, the ``count`` nearest cells of each vector, best first."""
-    ids, matrix = _centroid_matrix(centroids)
-    return df.withColumn("cells", nearest_ids(ids, matrix, metric, count)(F.col(vector)))
+    """Add ``cells``, the ``count`` nearest cells of each vector, best first.
+
+    Centroids go to the tasks in blocks of bounded size; the blocks' lists are merged by score.
+    """
+    lists = [
+        nearest_ids(block.ids.to_numpy(), block.matrix, metric, count)(F.col(vector))
+        for block in query_blocks(centroids, "cell", "centroid", block_centroids)
+        if len(block)
+    ]
+    if not lists:
+        raise ValueError("no centroids")
+    best = lists[0] if len(lists) == 1 else F.slice(F.array_sort(F.concat(*lists)), 1, count)
+    return df.withColumn("cells", F.transform(best, lambda pair: pair["cell"]))
 
 
 def assign_cells(

@@ -176,6 +176,10 @@ def _scan(
         everyone = np.arange(len(block))
         for batch in batches if len(block) else ():
             _, matrix = dense(batch.column(vector))
+            finite = np.isfinite(matrix).all(1)
+            if not finite.all():
+                # One NaN would blur the ranking of its whole tile; such rows cannot be ranked.
+                batch, matrix = batch.filter(pa.array(finite)), matrix[finite]
             rows = pa.Table.from_batches([batch.select(kept)])
             group = group_codes(rows.column(distinct)) if distinct else None
             if cell is None:

@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     from claimlode.session import local_session, ship_package
 
     session = local_session(
-        8,
+        4,
         "tests",
         **{
             "spark__checkpoint__dir": str(tmp_path_factory.mktemp("checkpoint")),

@@ -78,6 +78,13 @@ def test_ties_go_to_the_lowest_cell(spark, data):
     assert [r.cell for r in assigned.select("cell").distinct().collect()] == [2]
 
 
+def test_centroid_blocks_change_nothing(data, trained):
+    queries, _ = data
+    whole = cells.nearest_cells(queries, trained, 3, "inner").select("query_id", "cells")
+    parts = cells.nearest_cells(queries, trained, 3, "inner", block_centroids=2)
+    assert sorted(parts.select("query_id", "cells").collect()) == sorted(whole.collect())
+
+
 def test_layout_cuts_hot_cells_and_prunes(spark, data, trained, tmp_path):
     queries, corpus = data
     assigned = cells.assign_cells(corpus, trained)
@@ -112,6 +119,16 @@ def test_probe_join_keeps_probed_cells(data, trained):
     assert kept.count() == assigned.where(F.col("cell").isin(wanted)).count()
 
 
+def test_probe_join_prunes_folders_at_run_time(spark, data, trained, tmp_path):
+    queries, corpus = data
+    path = str(tmp_path / "cells")
+    cells.write_cells(cells.assign_cells(corpus, trained), path)
+    probes = spark.createDataFrame([(0, 1), (1, 1)], "query_id int, cell int").where("query_id < 5")
+    kept = cells.probe_join(probes, spark.read.parquet(path))
+    assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
+    assert {r.cell for r in kept.collect()} == {1}
+
+
 def test_cell_means(spark):
     df = spark.createDataFrame(
         [(0, [1.0, 3.0]), (0, [3.0, 5.0]), (1, [7.0, 7.0]), (1, None)], "cell int, embedding array<float>"

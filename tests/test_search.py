@@ -161,3 +161,12 @@ def test_rank_all_scores_every_row(data):
 def test_pick_query_takes_the_lowest_position(spark):
     rows = spark.createDataFrame([(3, "c"), (1, None), (2, "b")], "pos int, claim string")
     assert search.pick_query(rows, "pos", "claim").collect() == [(2, "b")]
+
+
+def test_unrankable_vectors_stay_out(spark):
+    nan = float("nan")
+    rows = [(0, "a", [1.0, 0.0]), (1, "b", [nan, 1.0]), (2, "c", [0.0, 1.0]), (3, "d", [float("inf"), 0.0])]
+    corpus = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    asked = spark.createDataFrame([(0, [1.0, 1.0]), (1, [nan, 0.0])], "query_id long, embedding array<float>")
+    for metric in ("inner", "l2"):
+        assert found(search.topk(asked, corpus, 1, metric)) == {(0, 1, 0)}
