@@ -423,8 +423,10 @@ def topk_l2(spark, root):
 
 @query
 def attach_metadata(spark, root):
-    hits = search.topk_inner(views.queries(spark, root), views.corpus(spark, root), 10)
-    found = joins.attach_metadata(hits, views.claim_table(spark, root))
+    asked = views.queries(spark, root)
+    hits = search.topk_inner(asked, views.corpus(spark, root), 10)
+    claims = views.claim_table(spark, root)
+    found = joins.attach_metadata(hits, claims, hit_rows=asked.count() * 10)
     return found.select("query_id", "rank", "row_id", "patent_id", "cleaned_claim")
 
 

@@ -84,7 +84,8 @@ def attach_metadata(
     """
     if hit_rows is not None and hit_rows <= BROADCAST_HITS:
         return meta.join(F.broadcast(hits), on)
-    return hits.join(meta, on)
+    # The planner sizes hits by the corpus they came from; the hint keeps it from broadcasting many.
+    return hits.join(meta.hint("merge"), on)
 
 
 def filter_ids(

@@ -59,9 +59,10 @@ def similarity_log(
         F.col("hits.patent_id").alias("_ids"),
         F.transform("hits.score", fmt4).alias("_scores"),
     )
+    # The lists grow with the queries, but their estimate follows the corpus: no broadcast here.
     return (
         check.drop("embedding")
-        .join(lists, query_id, "left")
+        .join(lists.hint("merge"), query_id, "left")
         .withColumns(
             {
                 "top_patents": F.coalesce(pack_list(F.col("_ids")), F.lit("")),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimlode.functions.text import is_blank
 from claimlode.functions.vectors import INNER
-from claimlode.operators.joins import BROADCAST_HITS, attach_metadata
+from claimlode.operators.joins import attach_metadata
 from claimlode.operators.search import topk
 
 Encode = Callable[[DataFrame, str], DataFrame]
@@ -26,22 +26,19 @@ def search_text(
     claim: str = "cleaned_claim",
     query_id: str = "query_id",
     row_id: str = "row_id",
-    max_queries: int | None = None,
 ) -> DataFrame:
     """Rank, query, patent, claim and score of the k best claims per query text.
 
     ``encode`` adds an ``embedding`` column from a text column. ``corpus`` holds row id, patent id,
-    claim text and embedding; its text joins only after the search. When the caller can state
-    ``max_queries`` the text table is not shuffled for that join.
+    claim text and embedding; its text joins only after the search. The queries are counted first:
+    queries x k bounds the hits, and few enough of them are broadcast, so that the text table is
+    scanned but not shuffled.
     """
-    asked = encode(queries.where(~is_blank(F.col(text))), text)
-    hits = topk(asked, corpus, k, metric, query_id=query_id, row_id=row_id, carry=("patent_id",))
-    bound = None if max_queries is None else max_queries * k
-    texts = corpus.select(row_id, claim)
-    if bound is None or bound > BROADCAST_HITS:
-        # Unknown or large: both sides move by row id, the plan may still choose to broadcast.
-        bound = None
-    found = attach_metadata(hits, texts, row_id, bound)
+    asked = queries.where(~is_blank(F.col(text)))
+    hits = topk(
+        encode(asked, text), corpus, k, metric, query_id=query_id, row_id=row_id, carry=("patent_id",)
+    )
+    found = attach_metadata(hits, corpus.select(row_id, claim), row_id, queries.count() * k)
     return found.join(queries.select(query_id, text), query_id).select(
         query_id, "rank", text, "patent_id", claim, "score"
     )

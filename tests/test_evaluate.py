@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from claimlode.operators import joins
 from claimlode.operators.encode import hash_encoder
 from claimlode.plans import evaluate
 from claimlode.plans.search import search_text
@@ -91,10 +92,11 @@ def test_one_vs_list(spark, corpus):
     assert tuple(coverage) == (3, 3, 1)
 
 
-@pytest.mark.parametrize("bound", [None, 10])
-def test_search_text_shows_rank_and_claim(spark, corpus, bound):
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_search_text_shows_rank_and_claim(spark, corpus, bound, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_HITS", bound)
     asked = spark.createDataFrame([(7, "mirror motor door"), (8, "  ")], "query_id long, query string")
-    got = search_text(asked, corpus, encode, k=2, max_queries=bound).orderBy("rank").collect()
+    got = search_text(asked, corpus, encode, k=2).orderBy("rank").collect()
     assert [(r.query_id, r["rank"], r.patent_id) for r in got] == [(7, 1, "100"), (7, 2, "100")]
     assert got[0].cleaned_claim in (CORPUS[0][2], CORPUS[1][2])
     assert got[0].score >= got[1].score and np.isfinite(got[0].score)
