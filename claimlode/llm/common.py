@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,6 +142,6 @@ def list_array(values: np.ndarray, borders: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(values))
 
 
-def parts(df: DataFrame, rows_each: int) -> int:
-    """How many parts of about ``rows_each`` rows ``df`` has; at least one."""
-    return max(1, -(-df.agg(F.count(F.lit(1))).first()[0] // rows_each))
+def bucket_count(rows: int) -> int:
+    """Into how many buckets a hot group is split: both buckets and rows in one grow as the square root."""
+    return max(1, math.ceil(math.sqrt(rows) / 32))

@@ -14,12 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlode.llm.common import slices, spare_name, stored, word_counts
+from claimlode.llm.common import bucket_count, slices, spare_name, stored, word_counts
 
 #: Expected copies are whole multiples of 1 / UNIT, so that their sums are exact in any order.
 UNIT = 1 << 24
-#: Documents of one source and size class are summed up in buckets of about this many.
-BUCKET_ROWS = 20_000
 
 
 @F.arrow_udf("long")
@@ -79,7 +77,7 @@ def systematic_copies(docs: DataFrame, key: list[str], seed: int = 1) -> DataFra
         "*",
         F.floor(F.col("expected") * UNIT).alias(part),
         F.floor(F.log2(F.greatest("size", F.lit(1))) * 16).cast("int").alias(band),
-        F.pmod(F.xxhash64(*key), F.lit(max(1, -(-n // BUCKET_ROWS)))).cast("int").alias(bucket),
+        F.pmod(F.xxhash64(*key), F.lit(bucket_count(n))).cast("int").alias(bucket),
     )
     group = ["source", band, bucket]
     sums = keyed.groupBy(*group).agg(F.sum(part).alias(before))

@@ -22,10 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlode.llm.common import spare_name, stored
-
-#: Pieces of one length are ranked in buckets of about this many.
-BUCKET_ROWS = 200_000
+from claimlode.llm.common import bucket_count, spare_name, stored
 
 Encoder = Callable[[str], np.ndarray]
 
@@ -153,7 +150,7 @@ def pack(pieces: DataFrame, order_by: list[str], capacity: int = 2048) -> DataFr
     slots = plan_slots(fill_plan(counts, capacity))
 
     bucket, rank, before = (spare_name(pieces, name) for name in ("_bucket", "_rank", "_before"))
-    n_buckets = max(1, -(-int(counts.sum()) // BUCKET_ROWS))
+    n_buckets = bucket_count(int(counts.sum()))
     keyed = pieces.withColumn(bucket, F.pmod(F.xxhash64(*order_by), F.lit(n_buckets)).cast("int"))
     sizes = keyed.groupBy("length", bucket).agg(F.count(F.lit(1)).alias(before))
     earlier = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
