@@ -7,6 +7,8 @@ containment. Everything is a DataFrame expression.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,36 +20,39 @@ SHINGLE = 5
 SCALE = 8
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` is evaluated for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shingle_hashes(text: Column) -> Column:
     """Hashes of all word shingles; a text of fewer words is one shingle, one without words has none."""
-    words = F.regexp_extract_all(text, F.lit(WORD), 0)
 
-    def hashes(w: Column) -> Column:
-        places = F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
-        whole = F.transform(places, lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE))))
-        return F.when(F.size(w) > 0, whole).otherwise(F.expr("CAST(array() AS array<bigint>)"))
+    def hashes(words: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0)))
+        whole = F.transform(places, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(SHINGLE))))
+        return F.when(F.size(words) > 0, whole).otherwise(F.expr("CAST(array() AS array<bigint>)"))
 
-    return F.get(F.transform(F.array(words), hashes), F.lit(0))
+    return let(F.regexp_extract_all(text, F.lit(WORD), 0), hashes)
 
 
-def sketch(text: Column, scale: int = SCALE) -> Column:
-    """The kept hashes, ordered; the smallest hash always stays, so no text with words has none."""
+def _kept(hashes: Column, scale: int) -> Column:
     limit = F.lit(-(1 << 63) + (1 << 64) // scale)
 
-    def kept(hashes: Column) -> Column:
-        low = F.array_min(hashes)
-        below = F.filter(hashes, lambda h: (h < limit) | (h == low))
-        return F.array_sort(F.array_distinct(below))
+    def filtered(all_: Column) -> Column:
+        return let(F.array_min(all_), lambda low: F.filter(all_, lambda h: (h < limit) | (h == low)))
 
-    return F.get(F.transform(F.array(shingle_hashes(text)), kept), F.lit(0))
+    return F.array_sort(F.array_distinct(let(hashes, filtered)))
+
+
+def sketch(text: Column, scale: int = SCALE) -> Column:
+    """The kept hashes, ordered; the smallest hash always stays, so no text with words has none."""
+    return _kept(shingle_hashes(text), scale)
 
 
 def merged(one: Column, other: Column, scale: int = SCALE) -> Column:
     """The sketch of two texts' shingles together."""
-    limit = F.lit(-(1 << 63) + (1 << 64) // scale)
-    both = F.array_sort(F.array_union(one, other))
-    low = F.array_min(both)
-    return F.filter(both, lambda h: (h < limit) | (h == low))
+    return _kept(F.array_union(one, other), scale)
 
 
 def containment(one: Column, other: Column) -> Column:
