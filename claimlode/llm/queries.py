@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlode.llm import chat, mixing, packing, sketches, urls
+from claimlode.llm import chat, mixing, neighbours, packing, quality, sketches, urls
 from claimlode.llm.common import table
 from claimlode.session import ship_package
 
@@ -65,3 +65,14 @@ def op5_url_filter(spark, root):
 @query
 def op6_scaled_sketches(spark, root):
     return sketches.edited_fingerprints(table(spark, root, "documents"))
+
+
+@query
+def op2_adaptive_scan(spark, root):
+    vectors = table(spark, root, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query
+def op9_quality_chain(spark, root):
+    return quality.score_documents(table(spark, root, "documents"), table(spark, root, "labels"))
