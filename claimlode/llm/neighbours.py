@@ -19,8 +19,9 @@ from claimlode.llm.common import stored
 #: The list centres are fitted on at most so many rows, those with the smallest id hashes.
 SAMPLE_ROWS = 16_384
 MAX_LISTS = 1024
-#: Lists that each query looks into, nearest centres first.
-PROBES = 40
+#: Share of the lists that each query looks into, nearest centres first. Vectors that hardly cluster
+#: need about half of them for nine in ten neighbours; clustered ones far fewer.
+PROBE_SHARE = 0.55
 #: Rows of a list, and queries of a list, that meet in one task.
 CHUNK_ROWS, CHUNK_QUERIES = 16_384, 4096
 #: Coordinates in a block, and how far a partial distance may lie under its expectation.
@@ -36,8 +37,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     """
     x = F.col("embedding")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.where(x.isNotNull() & F.col("vec_id").isNotNull() & ~bad & F.exists(x, lambda v: v != 0))
+    rows = vectors.select("vec_id", "embedding").where(x.isNotNull() & F.col("vec_id").isNotNull() & ~bad & F.exists(x, lambda v: v != 0))
     sizes = rows.groupBy(F.size(x).alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     return rows.where(F.size(x) == (sizes[0]["d"] if sizes else 0))
 
@@ -74,9 +74,11 @@ def matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     return flat.reshape(n, -1)
 
 
-def placed(rows: DataFrame, c: np.ndarray, turn: np.ndarray, probes: int) -> DataFrame:
-    """Per row its ``probes`` nearest lists (rank 0 is its own), the vector and the rotated vector."""
+def placed(rows: DataFrame, c: np.ndarray, probes: int, turn: np.ndarray | None = None) -> DataFrame:
+    """Per row its ``probes`` nearest lists (rank 0 is its own) and, with ``turn``, the rotated vector."""
     shared = rows.sparkSession.sparkContext.broadcast((c, turn))  # at most MAX_LISTS centres
+    kind = dict(rows.dtypes)["embedding"]
+    names = ["vec_id", "list", "nth", "vector"] + ["rotated"] * (turn is not None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, turn = shared.value
@@ -86,18 +88,21 @@ def placed(rows: DataFrame, c: np.ndarray, turn: np.ndarray, probes: int) -> Dat
             x = matrix(batch.column("embedding"), np.float64)
             near = np.argsort((c * c).sum(1) - 2 * x @ c.T, axis=1, kind="stable")[:, :probes]
             width = near.shape[1]
-            of = np.repeat(np.arange(len(x)), width)
-            yield pa.record_batch(
-                {
-                    "vec_id": batch.column("vec_id").take(pa.array(of)),
-                    "list": pa.array(near.ravel().astype(np.int32)),
-                    "nth": pa.array(np.tile(np.arange(width, dtype=np.int32), len(x))),
-                    "vector": batch.column("embedding").take(pa.array(of)),
-                    "rotated": pa.array(list((x @ turn).astype(np.float32)), pa.list_(pa.float32())).take(pa.array(of)),
-                }
-            )
+            of = pa.array(np.repeat(np.arange(len(x)), width))
+            columns = [
+                batch.column("vec_id").take(of),
+                pa.array(near.ravel().astype(np.int32)),
+                pa.array(np.tile(np.arange(width, dtype=np.int32), len(x))),
+                batch.column("embedding").take(of),
+            ]
+            if turn is not None:
+                flat = pa.array((x @ turn).astype(np.float32).ravel())
+                borders = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+                columns.append(pa.ListArray.from_arrays(borders, flat).take(of))
+            yield pa.record_batch(columns, names=names)
 
-    return rows.mapInArrow(run, "vec_id long, list int, nth int, vector array<double>, rotated array<float>")
+    schema = f"vec_id long, list int, nth int, vector {kind}" + ", rotated array<float>" * (turn is not None)
+    return rows.mapInArrow(run, schema)
 
 
 def scan(query: np.ndarray, blocks: list[np.ndarray], limit: float, k: int) -> np.ndarray:
@@ -151,10 +156,10 @@ def chunked(rows: DataFrame, own: dict[int, int], other: dict[int, int], mine: s
     )
 
 
-def search_lists(index: DataFrame, probes: DataFrame, sizes: dict[int, int], k: int) -> DataFrame:
+def search_lists(index: DataFrame, probes: DataFrame, sizes: dict[int, int], turn: np.ndarray, k: int) -> DataFrame:
     """(query_id, vec_id, score): the ``k`` nearest per query and chunk of a probed list.
 
-    ``probes`` hold (vec_id, list, vector, rotated, reach): lists to look into, and the distance that
+    ``probes`` hold (vec_id, list, vector, reach): lists to look into, and the distance that
     a find must not exceed. No chunk holds more than CHUNK_ROWS rows and CHUNK_QUERIES queries.
     """
     wanted = chunk_counts(probes, CHUNK_QUERIES)
@@ -170,7 +175,7 @@ def search_lists(index: DataFrame, probes: DataFrame, sizes: dict[int, int], k:
             ]
             ids = rows.column("vec_id").to_numpy()
             q = matrix(queries.column("vector"), np.float64)
-            turned = matrix(queries.column("rotated"), np.float32)
+            turned = (q @ turn).astype(np.float32)
             reach = queries.column("reach").to_numpy()
             for i, query_id in enumerate(queries.column("vec_id").to_numpy()):
                 # the query's own row may be among the finds, so one more is kept
@@ -190,7 +195,7 @@ def search_lists(index: DataFrame, probes: DataFrame, sizes: dict[int, int], k:
     )
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, share: float = PROBE_SHARE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's ``k`` nearest finds by Euclidean distance.
 
     Ties go to the smaller vec_id; a row with the query's own id is no candidate. Null, zero and
@@ -204,12 +209,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int = P
     counted = rows.agg(F.count(F.lit(1))).first()[0]
     c = centres(rows, counted)
     turn = rotation(c.shape[1])
-    index = stored(placed(rows, c, turn, 1).drop("nth"), "vector-lists")
+    index = stored(placed(rows, c, 1, turn).drop("nth"), "vector-lists")
     sizes = chunk_counts(index, CHUNK_ROWS)
     asked = usable(queries).dropDuplicates(["vec_id"])
-    looks = stored(placed(asked, c, turn, probes).withColumn("reach", F.lit(float("inf"))), "vector-probes")
+    looks = stored(placed(asked, c, max(1, int(np.ceil(share * len(c))))).withColumn("reach", F.lit(float("inf"))), "vector-probes")
 
-    first = stored(search_lists(index, looks.where("nth = 0"), sizes, k), "first-finds")
+    first = stored(search_lists(index, looks.where("nth = 0"), sizes, turn, k), "first-finds")
     own = Window.partitionBy("query_id").orderBy("score", "vec_id")
     reach = (
         first.withColumn("rank", F.row_number().over(own))
@@ -218,6 +223,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int = P
     )
     rest = looks.where("nth > 0").join(reach, "vec_id", "left")
     rest = rest.withColumn("reach", F.coalesce("near", "reach")).drop("near")
-    finds = first.unionByName(search_lists(index, rest, sizes, k))
+    finds = first.unionByName(search_lists(index, rest, sizes, turn, k))
     ranked = finds.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
