@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlode.llm import chat, mixing, neighbours, packing, quality, sketches, urls
+from claimlode.llm import chat, mixing, neighbours, packing, quality, repeats, sketches, urls
 from claimlode.llm.common import table
 from claimlode.session import ship_package
 
@@ -76,3 +76,8 @@ def op2_adaptive_scan(spark, root):
 @query
 def op9_quality_chain(spark, root):
     return quality.score_documents(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+@query
+def op3_suffix_dedup(spark, root):
+    return repeats.removal_report(table(spark, root, "documents"), length=400)
