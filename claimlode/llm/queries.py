@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlode.llm import chat, mixing, neighbours, packing, quality, repeats, sketches, urls
+from claimlode.llm import chat, mixing, neighbours, packing, pages, quality, repeats, sketches, urls
 from claimlode.llm.common import table
 from claimlode.session import ship_package
 
@@ -81,3 +81,8 @@ def op9_quality_chain(spark, root):
 @query
 def op3_suffix_dedup(spark, root):
     return repeats.removal_report(table(spark, root, "documents"), length=400)
+
+
+@query
+def op8_html_region(spark, root):
+    return pages.extract_text(table(spark, root, "pages"))
