@@ -31,7 +31,7 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, safe against lost executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
