@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlode.llm import chat, mixing, neighbours, packing, pages, quality, repeats, sketches, urls
+from claimlode.llm import chat, jaccard, mixing, neighbours, packing, pages, quality, repeats, sketches, urls
 from claimlode.llm.common import table
 from claimlode.session import ship_package
 
@@ -86,3 +86,8 @@ def op3_suffix_dedup(spark, root):
 @query
 def op8_html_region(spark, root):
     return pages.extract_text(table(spark, root, "pages"))
+
+
+@query
+def op10_jaccard_join(spark, root):
+    return jaccard.jaccard_components(table(spark, root, "documents"), percent=75)
