@@ -245,7 +245,8 @@ def crossing_pairs(table: pa.Table, percent: int) -> pa.Table:
 def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs still to verify: in blocks whose sets are not all in one component, between components.
 
-    A large block is cut into parts that meet pairwise, each pair of parts in a task of its own.
+    Blocks of the same sets are taken once. A large block is cut into parts that meet pairwise, each pair
+    of parts in a task of its own.
     """
     label = labels.withColumnRenamed("label", "known")
 
@@ -255,9 +256,15 @@ def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: in
 
     members = labelled(labelled(stars, "head", "head_label"), "node", "label")
     split = members.groupBy("token").agg(
-        F.max(F.col("label") != F.col("head_label")).alias("open"), F.count(F.lit(1)).alias("size")
+        F.max(F.col("label") != F.col("head_label")).alias("open"),
+        F.count(F.lit(1)).alias("size"),
+        F.any_value("head").alias("head"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2"),
     )
-    split = split.where("open").select("token", F.ceil((F.col("size") + 1) / BLOCK_ROWS).cast("int").alias("parts"))
+    # a block of two has been held against its head; blocks of the same sets give the same pairs
+    split = split.where("open AND size > 1").groupBy("head", "size", "mark", "mark2").agg(F.min("token").alias("token"))
+    split = split.select("token", F.ceil((F.col("size") + 1) / BLOCK_ROWS).cast("int").alias("parts"))
     inner = members.join(split, "token")
     everyone = inner.select("token", "parts", "node", "label").unionByName(
         inner.select("token", "parts", F.col("head").alias("node"), F.col("head_label").alias("label")).distinct()
