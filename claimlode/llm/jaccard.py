@@ -21,6 +21,7 @@ from claimlode.llm.common import (
     mixed,
     shingle_hashes,
     slices,
+    spare_name,
     stored,
     utf8,
     word_borders,
@@ -315,3 +316,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each component: the smallest id.
+
+    Of rows equal in id and text one stays. Rows of one id with different texts count one by one if their
+    component's smallest id is theirs; a component of null ids only keeps one row per text.
+    """
+    found = stored(jaccard_components(docs.select("doc_id", "text"), percent), "components")
+    low = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    low = low.withColumnRenamed("doc_id", spare_name(docs, "kept_id"))
+    kept = docs.join(low, docs["doc_id"].eqNullSafe(low[low.columns[0]]), "left_semi")
+    digest = spare_name(docs, "digest")
+    return kept.withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest]).drop(digest)

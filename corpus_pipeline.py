@@ -4,27 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlode.llm import mixing, packing
+from claimlode.llm import jaccard, mixing, packing, quality, repeats
 from claimlode.llm.common import stored
 from claimlode.session import ship_package
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, taught by the table of labels, does not reject."""
+    ship_package(spark)
+    return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    ship_package(spark)
+    return jaccard.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 400 bytes and more that still occur more than once."""
+    ship_package(spark)
+    return repeats.without_repeats(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    ship_package(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: one row per piece of a document with its place."""
+    ship_package(spark)
     return packing.pack_documents(docs)
 
 
-STAGES = [("mixing", mix_sources), ("best_fit_packing", pack_sequences)]
+STAGES = [
+    ("quality_chain", keep_good),
+    ("jaccard_join", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
-#: The first stage is a trained model, which SQL cannot express.
+#: None: the first stage is a trained model, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
