@@ -33,8 +33,8 @@ from claimlode.llm.graph import components
 SHINGLE, PERCENT = 5, 75
 #: Mean count of a group: so few that the counts of unrelated sets overlap clearly less than required.
 PER_GROUP = 6
-#: Sets of a block, and sets held against one other, that meet in one task.
-BLOCK_ROWS, ROOM_ROWS = 4096, 1024
+#: Sets of a block, and shingles of the sets held against one other, that meet in one task.
+BLOCK_ROWS, ROOM_SHINGLES = 4096, 1 << 18
 LEAF = 32
 _SLICE = 2 << 20
 
@@ -142,13 +142,14 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(near).where(may_link("n_a", "n_b", "c_a", "c_b")).select("a", "b")
 
 
-def verified(pairs: DataFrame, owners: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose sets are alike.
 
-    A room holds the set of one ``a`` and up to about ROOM_ROWS sets ``b`` to hold against it. Texts
-    are read again and their sets sent to the rooms; ``owners`` names one document per node.
+    A room holds the set of one ``a`` and sets ``b`` to hold against it, of about ROOM_SHINGLES together.
+    Texts are read again and their sets sent to the rooms; ``owners`` names one document per node.
     """
-    sizes = pairs.groupBy("a").count().withColumn("rooms", F.ceil(F.col("count") / ROOM_ROWS).cast("int"))
+    held = pairs.join(sets.select(F.col("node").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("n"))
+    sizes = held.select("a", F.ceil(F.col("n") / ROOM_SHINGLES).cast("int").alias("rooms"))
     seats = pairs.join(sizes, "a").withColumn("room", F.pmod(F.xxhash64("b"), F.col("rooms")).cast("int"))
     guests = seats.select(F.col("b").alias("node"), "a", "room")
     hosts = seats.select(F.col("a").alias("node"), "a", "room").distinct()
@@ -302,10 +303,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     likely = stored(bounded(pairs, sets, percent), "bounded-pairs")
     owner = F.min(F.struct("doc_id", "digest")).alias("owner")
     owners = described.where("node IS NOT NULL").groupBy("node").agg(owner).select("node", "owner.*")
-    links = stored(verified(likely, owners, docs, percent), "links")
+    links = stored(verified(likely, sets, owners, docs, percent), "links")
     labels = components(links)
     rest = stored(open_pairs(stars, sets, labels, percent).join(likely, ["a", "b"], "left_anti"), "open-pairs")
-    more = stored(verified(rest, owners, docs, percent), "links")
+    more = stored(verified(rest, sets, owners, docs, percent), "links")
     labels = components(links.unionByName(more))
     marked = described.select("doc_id", "n", "node").join(labels, "node", "left")
     group = F.coalesce("label", "node")
