@@ -31,8 +31,8 @@ from claimlode.llm.graph import components
 
 #: Words in a shingle; sets are linked when 100 * shared >= PERCENT * all.
 SHINGLE, PERCENT = 5, 75
-#: Mean count of a group: so few that the counts of unrelated sets overlap clearly less than required.
-PER_GROUP = 6
+#: Mean count of a group at most: so few that sets that are not alike seldom look so by their counts.
+PER_GROUP = 2
 #: Sets of a block, and shingles of the sets held against one other, that meet in one task.
 BLOCK_ROWS, ROOM_SHINGLES = 4096, 1 << 18
 LEAF = 32
@@ -72,7 +72,7 @@ def describe(docs: DataFrame, percent: int) -> DataFrame:
                 width = groups(n)
                 begin = np.concatenate(([0], np.cumsum(width)))
                 cell = begin[row] + (hashes & (width[row] - 1).astype(np.uint64)).astype(np.int64)
-                counts = np.minimum(np.bincount(cell, minlength=begin[-1]), 65535).astype("<u2")
+                counts = np.minimum(np.bincount(cell, minlength=begin[-1]), 255).astype(np.uint8)
                 first = np.where(n > 0, n - (-(-percent * n // 100)) + 1, 0)
                 kept = np.arange(len(hashes)) - borders[row] < first[row]
                 yield pa.record_batch(
@@ -118,8 +118,10 @@ def blocks(sets: DataFrame) -> DataFrame:
 
 
 def vector(counts: bytes, width: int) -> np.ndarray:
-    """A count vector folded to ``width`` groups."""
-    return np.frombuffer(counts, "<u2").reshape(-1, width).sum(0, dtype=np.int64)
+    """A count vector folded to ``width`` groups; a full byte stands for any larger number."""
+    cells = np.frombuffer(counts, np.uint8).astype(np.int32)
+    cells[cells == 255] = 1 << 24
+    return cells.reshape(-1, width).sum(0, dtype=np.int32)
 
 
 def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,7 +132,7 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         need = required(n.to_numpy(), m.to_numpy(), percent).tolist()
         out = []
         for least, x, y in zip(need, one.to_pylist(), other.to_pylist(), strict=True):
-            width = min(len(x), len(y)) // 2
+            width = min(len(x), len(y))
             out.append(bool(np.minimum(vector(x, width), vector(y, width)).sum() >= least))
         return pa.array(out, pa.bool_())
 
@@ -192,7 +194,7 @@ def verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame, docs: DataFra
 
 
 class Tree:
-    """Two-level R-tree over count vectors of one width, packed in the order of set size."""
+    """R-tree over count vectors of one width: leaves of LEAF points, packed in the order of set size."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, label: np.ndarray) -> None:
         self.order = np.lexsort((*points.T[:2], sizes))
@@ -204,50 +206,65 @@ class Tree:
         low, high = np.minimum.reduceat(self.label, self.cuts), np.maximum.reduceat(self.label, self.cuts)
         self.only = np.where(low == high, low, -1)  # the component, if a leaf has only one
 
-    def search(self, point: np.ndarray, size: int, label: int, percent: int) -> np.ndarray:
-        """Points of other components that may share enough with ``point``."""
-        least = required(np.maximum(self.small, -(-percent * size // 100)), size, percent)
-        leaf = (self.only != label) & (100 * self.large >= percent * size) & (percent * self.small <= 100 * size)
-        leaf &= np.minimum(self.upper, point).sum(1) >= least
-        found = np.flatnonzero(leaf)
-        at = (self.cuts[found][:, None] + np.arange(LEAF)).ravel()
-        at = at[at < len(self.sizes)]
-        at = at[self.label[at] != label]
-        enough = np.minimum(self.points[at], point).sum(1) >= required(self.sizes[at], size, percent)
-        return self.order[at[enough]]
-
-
-def crossing_pairs(table: pa.Table, percent: int) -> pa.Table:
-    """Pairs of different components in a block, or between two parts of one, whose bound is high enough."""
+    def join(self, other: Tree, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(own point, other point, bound over requirement) of pairs of different components that may be alike.
+
+        A pair of leaves is left out by the sum of the smaller upper corners, or if it holds one component.
+        """
+        for leaf, start in enumerate(self.cuts):
+            own = np.arange(start, min(start + LEAF, len(self.sizes)))
+            least = required(other.small, self.small[leaf], percent)
+            alive = (100 * other.large >= percent * self.small[leaf]) & (percent * other.small <= 100 * self.large[leaf])
+            alive &= (self.only[leaf] < 0) | (other.only != self.only[leaf])
+            alive[alive] = np.minimum(other.upper[alive], self.upper[leaf]).sum(1) >= least[alive]
+            near = (other.cuts[alive][:, None] + np.arange(LEAF)).ravel()
+            near = near[near < len(other.sizes)]
+            step = max(LEAF, (1 << 20) // (LEAF * self.points.shape[1]))
+            for i in range(0, len(near), step):
+                at = near[i : i + step]
+                bound = np.minimum(self.points[own][:, None], other.points[at]).sum(-1)
+                n, m = self.sizes[own][:, None], other.sizes[at]
+                over = bound - required(n, m, percent)
+                fits = (over >= 0) & (self.label[own][:, None] != other.label[at])
+                fits &= (100 * n >= percent * m) & (100 * m >= percent * n)
+                x, y = np.nonzero(fits)
+                yield self.order[own[x]], other.order[at[y]], over[x, y]
+
+
+def crossing_pairs(table: pa.Table, percent: int, nearest: bool) -> pa.Table:
+    """Pairs of different components in a block, or between two parts of one, whose bound is high enough.
+
+    With ``nearest`` only the best one for each set of the one side.
+    """
     node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
     label, side = table.column("label").to_numpy(), table.column("side").to_numpy()
     label = np.unique(label, return_inverse=True)[1]
     counts = table.column("counts").to_pylist()
-    width = np.array([len(c) // 2 for c in counts])
-    pairs: set[tuple[int, int]] = set()
-    across = side.min() != side.max()
-    for w in np.unique(width):
-        own = np.flatnonzero((width == w) & (side == side.max()))
-        if not len(own):
-            continue
-        for v in (w // 2, w, 2 * w):  # alike sets are in the same or the next class of size
-            asking = np.flatnonzero((width == v) & (side == side.min()))
-            if not len(asking) or v < 1:
-                continue
-            fold = min(v, w)
-            tree = Tree(np.array([vector(counts[i], fold) for i in own]), size[own], label[own])
-            for i in asking:
-                for j in own[tree.search(vector(counts[i], fold), size[i], label[i], percent)]:
-                    if across or node[i] != node[j]:
-                        pairs.add((min(node[i], node[j]), max(node[i], node[j])))
-    a, b = zip(*pairs, strict=True) if pairs else ((), ())
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    width = np.array([len(c) for c in counts])
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    classes = np.unique(width)
+    for w in classes:
+        for v in classes[(classes == w // 2) | (classes == w) | (classes == 2 * w)]:  # no others are alike
+            ones, others = np.flatnonzero((width == w) & (side == side.min())), np.flatnonzero((width == v) & (side == side.max()))
+            if len(ones) and len(others):
+                fold = min(v, w)
+                one, other = (
+                    Tree(np.array([vector(counts[i], fold) for i in at]), size[at], label[at]) for at in (ones, others)
+                )
+                found += [(ones[i], others[j], over) for i, j, over in one.join(other, percent)]
+    i, j, over = (np.concatenate([np.zeros(0, np.int64), *c]) for c in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
+    if nearest:
+        order = np.lexsort((-over, i))
+        best = order[np.concatenate(([True], i[order][1:] != i[order][:-1]))] if len(order) else order
+        i, j = i[best], j[best]
+    pairs = np.unique(np.stack((np.minimum(node[i], node[j]), np.maximum(node[i], node[j]))), axis=1)
+    return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
 
-def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs still to verify: in blocks whose sets are not all in one component, between components.
 
-    Blocks of the same sets are taken once. A large block is cut into parts that meet pairwise, each pair
+    With ``nearest`` only the best partner of each set is told. Blocks of the same sets are taken once. A large block is cut into parts that meet pairwise, each pair
     of parts in a task of its own.
     """
     label = labels.withColumnRenamed("label", "known")
@@ -283,7 +300,7 @@ def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: in
         .join(shapes, "node")
     )
     found = dealt.groupBy("token", "low", "high").applyInArrow(
-        lambda table: crossing_pairs(table, percent), "a long, b long"
+        lambda table: crossing_pairs(table, percent, nearest), "a long, b long"
     )
     return found.distinct()
 
@@ -304,10 +321,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     owner = F.min(F.struct("doc_id", "digest")).alias("owner")
     owners = described.where("node IS NOT NULL").groupBy("node").agg(owner).select("node", "owner.*")
     links = stored(verified(likely, sets, owners, docs, percent), "links")
+    tested = likely
+    for nearest in (True, False):  # what the nearest partners connect needs no pairs any more
+        labels = components(links)
+        found = open_pairs(stars, sets, labels, percent, nearest)
+        rest = stored(found.join(tested, ["a", "b"], "left_anti"), "open-pairs")
+        more = stored(verified(rest, sets, owners, docs, percent), "links")
+        tested, links = tested.unionByName(rest), links.unionByName(more)
     labels = components(links)
-    rest = stored(open_pairs(stars, sets, labels, percent).join(likely, ["a", "b"], "left_anti"), "open-pairs")
-    more = stored(verified(rest, sets, owners, docs, percent), "links")
-    labels = components(links.unionByName(more))
     marked = described.select("doc_id", "n", "node").join(labels, "node", "left")
     group = F.coalesce("label", "node")
     smallest = marked.where("node IS NOT NULL").groupBy(group.alias("group")).agg(F.min("doc_id").alias("low"))
