@@ -264,7 +264,7 @@ def crossing_pairs(table: pa.Table, percent: int, nearest: bool) -> pa.Table:
 def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs still to verify: in blocks whose sets are not all in one component, between components.
 
-    With ``nearest`` only the best partner of each set is told. Blocks of the same sets are taken once. A large block is cut into parts that meet pairwise, each pair
+    With ``nearest`` only the best partner of each set is told, in blocks of more than one leaf. Blocks of the same sets are taken once. A large block is cut into parts that meet pairwise, each pair
     of parts in a task of its own.
     """
     label = labels.withColumnRenamed("label", "known")
@@ -282,7 +282,7 @@ def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: in
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2"),
     )
     # a block of two has been held against its head; blocks of the same sets give the same pairs
-    split = split.where("open AND size > 1").groupBy("head", "size", "mark", "mark2").agg(F.min("token").alias("token"))
+    split = split.where(F.col("open") & (F.col("size") > (LEAF if nearest else 1))).groupBy("head", "size", "mark", "mark2").agg(F.min("token").alias("token"))
     split = split.select("token", F.ceil((F.col("size") + 1) / BLOCK_ROWS).cast("int").alias("parts"))
     inner = members.join(split, "token")
     everyone = inner.select("token", "parts", "node", "label").unionByName(

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlode.llm.common import bucket_count, slices, spare_name, stored, word_counts
 
@@ -20,7 +21,7 @@ from claimlode.llm.common import bucket_count, slices, spare_name, stored, word_
 UNIT = 1 << 24
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def count_words(text: pa.Array) -> pa.Array:
     """Words of a text, 0 for null."""
     batch = pa.record_batch([text], names=["text"])

@@ -37,7 +37,7 @@ def shingle_hashes(text: Column) -> Column:
 
 
 def _kept(hashes: Column, scale: int) -> Column:
-    limit = F.lit(-(1 << 63) + (1 << 64) // scale)
+    limit = F.lit(min(-(1 << 63) + (1 << 64) // scale, (1 << 63) - 1))
 
     def filtered(all_: Column) -> Column:
         return let(F.array_min(all_), lambda low: F.filter(all_, lambda h: (h < limit) | (h == low)))
