@@ -296,7 +296,7 @@ def sql() -> dict[str, str]:
         "keep_in_list": f"""WITH {LISTED}, {CLAIMS} SELECT row_id, patent_id, claim_text FROM claims
             WHERE patent_id IN (SELECT patent_id FROM listed)""",
         "missing_ids": f"""WITH {LISTED}, {CLAIMS} SELECT patent_id FROM listed
-            WHERE patent_id NOT IN (SELECT patent_id FROM claims) ORDER BY 1 LIMIT 20""",
+            WHERE patent_id NOT IN (SELECT patent_id FROM claims)""",
         "id_difference": f"""WITH {LISTED}, {CORPUS} SELECT patent_id FROM listed
             EXCEPT SELECT patent_id FROM corpus""",
         "id_intersection": f"""WITH {LISTED}, {CORPUS} SELECT patent_id FROM listed

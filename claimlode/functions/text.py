@@ -57,6 +57,7 @@ def publication_core(number: Column) -> Column:
 
 def normalize_id(value: Column) -> Column:
     """Digits up to the first letter, after a 2-3 letter prefix and its zeros; empty gives null."""
+    # The three patterns.
     tidy = F.regexp_replace(F.upper(value.cast("string")), r"[^A-Z0-9]", "")
     unprefixed = F.regexp_replace(tidy, r"^[A-Z]{2,3}0*", "")
     return F.nullif(F.regexp_replace(unprefixed, r"[A-Z].*\z", ""), F.lit(""))

@@ -83,9 +83,11 @@ def attach_metadata(
     ``BROADCAST_HITS`` the hits are broadcast, so the text table is scanned but never shuffled.
     """
     if hit_rows is not None and hit_rows <= BROADCAST_HITS:
-        return meta.join(F.broadcast(hits), on)
-    # The planner sizes hits by the corpus they came from; the hint keeps it from broadcasting many.
-    return hits.join(meta.hint("merge"), on)
+        joined = meta.join(F.broadcast(hits), on)
+    else:
+        # The planner sizes hits by the corpus they came from; the hint keeps it from broadcasting many.
+        joined = hits.join(meta.hint("merge"), on)
+    return joined.select(on, *(c for c in [*meta.columns, *hits.columns] if c != on))
 
 
 def filter_ids(
@@ -178,8 +180,8 @@ def id_intersection(ids: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return wanted.join(other.select(on).distinct(), on, "left_semi")
 
 
-def missing_ids(ids: DataFrame, corpus: DataFrame, on: str, n: int | None = 20) -> DataFrame:
-    """List ids without a corpus row, sorted as text; the first ``n``, or all for None."""
+def missing_ids(ids: DataFrame, corpus: DataFrame, on: str, n: int | None = None) -> DataFrame:
+    """List all ids without a corpus row, sorted as text; or the first ``n``."""
     missing = id_difference(ids, corpus, on).orderBy(on)
     return missing if n is None else missing.limit(n)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimlode.operators import audit
 from claimlode.sources import batch_files, tables
 
-CLAIMS = [("6716167", 'quoted "text", with comma'), ("D402870", "two\nlines"), ("007", "plain | bar")]
+CLAIMS = [("7311042", 'quoted "text", with comma'), ("D655501", "two\nlines"), ("007", "plain | bar")]
 
 
 def test_read_claims_from_parquet(spark, tmp_path):
@@ -27,10 +27,10 @@ def test_csv_keeps_ids_as_text_and_line_breaks(spark, tmp_path):
 
 def test_latin1_list(spark, tmp_path):
     path = tmp_path / "list.csv"
-    path.write_bytes("Publication Number,Title\nUS8442755B2,Präzision\n,leer\n".encode("latin-1"))
+    path.write_bytes("Publication Number,Title\nUS7311042B2,Präzision\n,leer\n".encode("latin-1"))
     header = ["Publication Number", "Title"]
     got = tables.read_metadata_csv(spark, str(path), header, encoding="ISO-8859-1").collect()
-    assert got == [("US8442755B2", "Präzision"), (None, "leer")]
+    assert got == [("US7311042B2", "Präzision"), (None, "leer")]
 
 
 def test_check_table_headers_and_packing(spark, tmp_path):
@@ -91,7 +91,7 @@ def test_writing_a_batch_again_replaces_only_it(spark, tmp_path):
 
 def test_vector_table_append_and_dimension(spark, tmp_path):
     rows = spark.createDataFrame(
-        [("TEST-1", "abc", [0.1, 0.2, 0.3])], "patent_id string, cleaned_claim string, embedding array<float>"
+        [("P-77", "a lid", [0.5, -1.5, 2.0])], "patent_id string, cleaned_claim string, embedding array<float>"
     )
     for _ in range(2):
         tables.create_vector_table(spark, "claim_vectors", str(tmp_path / "table"))
