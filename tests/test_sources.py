@@ -100,7 +100,7 @@ def test_vector_table_append_and_dimension(spark, tmp_path):
     assert spark.table("claim_vectors").count() == 2
     path = str(tmp_path / "plain")
     tables.append_vectors(rows, path, 3)
-    assert spark.read.parquet(path).first().embedding == pytest.approx([0.1, 0.2, 0.3])
+    assert spark.read.parquet(path).first().embedding == pytest.approx([0.5, -1.5, 2.0])
     with pytest.raises(Exception, match="expected dimension 4, found 3"):
         tables.append_vectors(rows, path, 4)
     spark.sql("DROP TABLE claim_vectors")
