@@ -333,7 +333,7 @@ def topk_distinct(
     corpus: DataFrame,
     group: str = "patent_id",
     k: int = 10,
-    overfetch: int | None = 5,
+    overfetch: int | None = None,
     metric: str = INNER,
     **options,
 ) -> DataFrame:

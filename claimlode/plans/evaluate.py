@@ -25,7 +25,6 @@ from claimlode.operators.search import first_occurrence, pick_query, rank_all, r
 Encode = Callable[[DataFrame, str], DataFrame]
 
 TOP_PATENTS = 10
-OVERFETCH = 5
 EXTERNAL_ITEMS = 100
 
 
@@ -39,7 +38,7 @@ def similarity_log(
     check: DataFrame,
     corpus: DataFrame,
     k: int = TOP_PATENTS,
-    overfetch: int | None = OVERFETCH,
+    overfetch: int | None = None,
     metric: str = INNER,
     *,
     query_id: str = "query_id",
