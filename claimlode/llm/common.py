@@ -113,8 +113,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mixed((prefix[ends] - prefix[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
-def shingle_hashes(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingle hashes of every row, ordered by row and hash, and the row borders.
+def shingle_rows(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every shingle in text order, repeats included, and the row of each.
 
     A row with fewer than ``size`` words has its whole word sequence as one shingle; one without
     words has none.
@@ -129,6 +129,12 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int)
     total = width[of].astype(np.uint64)
     for i in range(size):
         total = mixed(total ^ np.where(i < width[of], padded[first + i], np.uint64(0)))
+    return total, of
+
+
+def shingle_hashes(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of every row, ordered by row and hash, and the row borders."""
+    total, of = shingle_rows(words, rows, n_rows, size)
     order = np.argsort(total)
     order = order[np.argsort(of[order].astype(np.uint16 if n_rows < 65536 else np.int64), kind="stable")]
     total, of = total[order], of[order]

@@ -1,10 +1,10 @@
 """Exact Jaccard join of shingle sets: count-vector R-trees over blocks of sets that share a rare-enough shingle.
 
-Two sets that are alike share one of their first shingles in hash order, so each shingle names a
-block. A set's shingles are hashed into groups and counted; the sum of the smaller counts bounds how
-many two sets share. In a block, all sets are first held against its first one, and what is alike is
-linked. Only blocks whose sets are not all connected by then go on: an R-tree over the counts finds the pairs
-of different components whose bound is high enough. Surviving pairs are verified on the sets.
+Two sets that are alike share one of their first shingles in any fixed order; here the less common come first, then
+the smaller hash. Each shingle names a block. A set's shingles are hashed into groups and counted; the sum of the
+smaller counts bounds how many two sets share. In a block, all sets are first held against its first one, the head, and what is alike is
+linked. Blocks of one head make a star. Only stars whose sets are not all connected by then go on: an R-tree over
+the counts finds the pairs of different components whose bound is high enough. Surviving pairs are verified on the sets.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from claimlode.llm.common import (
     list_array,
     mixed,
     shingle_hashes,
+    shingle_rows,
     slices,
     spare_name,
     stored,
@@ -36,6 +37,8 @@ PER_GROUP = 2
 #: Sets of a block, and shingles of the sets held against one other, that meet in one task.
 BLOCK_ROWS, ROOM_SHINGLES = 4096, 1 << 18
 LEAF = 32
+#: Shingles fall into 2**COMMON_BITS buckets; a bucket over so many times the mean count is common, the more the later.
+COMMON_BITS, COMMON = 18, (2, 16, 128)
 _SLICE = 2 << 20
 
 
@@ -56,10 +59,54 @@ def text_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shingle_hashes(word_hashes(data, starts, ends), rows, len(column), SHINGLE)
 
 
+def commonness(docs: DataFrame) -> np.ndarray:
+    """How common the shingles of each of 2**COMMON_BITS buckets are, from 0 to len(COMMON).
+
+    Counted over all texts, repeats included. The table has the same size for any corpus. It only orders
+    shingles, so what shares a bucket costs time and changes no result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COMMON_BITS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text", _SLICE):
+                data, offsets = utf8(part.column("text"))
+                starts, ends, rows = word_borders(data, offsets)
+                hashes, _ = shingle_rows(word_hashes(data, starts, ends), rows, part.num_rows, SHINGLE)
+                total += np.bincount(bucket(hashes), minlength=len(total))
+        some = np.flatnonzero(total)
+        for at in np.array_split(some, -(-len(some) // 65_536) or 1):
+            yield pa.record_batch({"bucket": at.astype(np.int32), "n": total[at]})
+
+    counted = docs.select("text").mapInArrow(run, "bucket int, n long")
+    summed = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(1 << COMMON_BITS, np.int64)
+    total[summed.column("bucket").to_numpy()] = summed.column("n").to_numpy()
+    return np.searchsorted(np.array(COMMON) * total.mean(), total, side="left").astype(np.uint8)
+
+
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
+
+
+def places(hashes: np.ndarray, row: np.ndarray, n: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Each shingle's place in its set when the less common come first, then the smaller hash."""
+    of = level[bucket(hashes)]
+    place = np.zeros(len(hashes), np.int64)
+    before = np.zeros(len(n), np.int64)
+    for at in range(len(COMMON) + 1):
+        rows = row[of == at]
+        count = np.bincount(rows, minlength=len(n))
+        place[of == at] = np.arange(len(rows)) - (np.cumsum(count) - count)[rows] + before[rows]
+        before += count
+    return place
+
+
 def describe(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, digest, n, node, counts, first) per row of (doc_id, text): digest of the text, size of
     the set and its digest (null for an empty set), the count vector, and the shingles of which two alike
     sets share one."""
+    common = docs.sparkSession.sparkContext.broadcast(commonness(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,7 +121,7 @@ def describe(docs: DataFrame, percent: int) -> DataFrame:
                 cell = begin[row] + (hashes & (width[row] - 1).astype(np.uint64)).astype(np.int64)
                 counts = np.minimum(np.bincount(cell, minlength=begin[-1]), 255).astype(np.uint8)
                 first = np.where(n > 0, n - (-(-percent * n // 100)) + 1, 0)
-                kept = np.arange(len(hashes)) - borders[row] < first[row]
+                kept = places(hashes, row, n, common.value) < first[row]
                 yield pa.record_batch(
                     {
                         "doc_id": part.column("doc_id"),
@@ -92,7 +139,7 @@ def describe(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def blocks(sets: DataFrame) -> DataFrame:
-    """(token, head, node): sets other than the smallest digest, the head, of every block of two or more."""
+    """(head, node): sets other than the smallest digest, the head, of every block of two or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token0 = head0 = last0 = None  # the open block may go on in the next batch
@@ -109,11 +156,11 @@ def blocks(sets: DataFrame) -> DataFrame:
                 again[0] = node[0] == last0
             token0, head0, last0 = token[-1], head[-1], node[-1]
             out = (node != head) & ~again
-            yield pa.record_batch({"token": token[out], "head": head[out], "node": node[out]})
+            yield pa.record_batch({"head": head[out], "node": node[out]})
 
     rows = sets.where("node IS NOT NULL").select(F.explode("first").alias("token"), "node")
     return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(
-        run, "token long, head long, node long"
+        run, "head long, node long"
     )
 
 
@@ -261,11 +308,68 @@ def crossing_pairs(table: pa.Table, percent: int, nearest: bool) -> pa.Table:
     return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
 
+def leaf_pairs(table: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    """As ``crossing_pairs``, for many stars of one leaf each: rows (head, node, label, n, counts) in the order of head."""
+    head, node, label, size = (table.column(c).to_numpy() for c in ("head", "node", "label", "n"))
+    starts = np.flatnonzero(np.concatenate((np.ones(min(len(head), 1), bool), head[1:] != head[:-1])))
+    ends = np.repeat(np.append(starts[1:], len(head)), np.diff(np.append(starts, len(head))))
+    later = ends - np.arange(len(head)) - 1  # rows of the same star that follow
+    i = np.repeat(np.arange(len(head)), later)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later) + i + 1
+    fits = (label[i] != label[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+    i, j = i[fits], j[fits]
+    counts = table.column("counts").cast(pa.large_binary())
+    begin = np.frombuffer(counts.buffers()[1], np.int64)[counts.offset : counts.offset + len(counts) + 1]
+    cells = np.frombuffer(counts.buffers()[2] or b"", np.uint8)
+    width = np.diff(begin)
+    fold = np.minimum(width[i], width[j])
+    kept = [np.zeros(0, np.int64)]
+    for w in np.unique(fold):
+        at = np.flatnonzero(fold == w)
+        for part in np.array_split(at, -(-len(at) * int(w) // (1 << 20))):
+            one, other = (folded(cells, begin[rows[part]], width[rows[part]], int(w)) for rows in (i, j))
+            bound = np.minimum(one, other).sum(1)
+            kept.append(part[bound >= required(size[i[part]], size[j[part]], percent)])
+    at = np.concatenate(kept)
+    x, y = node[i[at]], node[j[at]]
+    pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+    return pa.record_batch({"a": pairs[0], "b": pairs[1]})
+
+
+def folded(cells: np.ndarray, begin: np.ndarray, width: np.ndarray, w: int) -> np.ndarray:
+    """Count vectors that begin at ``begin`` as rows of ``w`` groups; each is ``w`` or twice as wide."""
+    out = np.zeros((len(begin), w), np.int32)
+    for half in (0, w):
+        rows = np.flatnonzero(width > half)
+        got = cells[begin[rows][:, None] + half + np.arange(w)].astype(np.int32)
+        got[got == 255] = 1 << 24
+        out[rows] += got
+    return out
+
+
+def whole_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in the order of head, cut anew so that no star lies in two."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if rest is not None:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        head = batch.column("head").to_numpy()
+        cut = int(np.flatnonzero(head == head[-1])[0])
+        rest = batch.slice(cut)
+        if cut:
+            yield batch.slice(0, cut)
+    if rest is not None:
+        yield rest
+
+
 def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs still to verify: in blocks whose sets are not all in one component, between components.
+    """Pairs still to verify: around heads whose sets are not all in one component, between components.
 
-    With ``nearest`` only the best partner of each set is told, in blocks of more than one leaf. Blocks of the same sets are taken once. A large block is cut into parts that meet pairwise, each pair
-    of parts in a task of its own.
+    All blocks of one head are taken together, so what several of them name is compared once. With ``nearest``
+    only the best partner of each set is told, around heads of more than one leaf. A large star is cut into
+    parts that meet pairwise, each pair of parts in a task of its own.
     """
     label = labels.withColumnRenamed("label", "known")
 
@@ -274,34 +378,41 @@ def open_pairs(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: in
         return rows.join(one, column, "left").withColumn(name, F.coalesce("known", column)).drop("known")
 
     members = labelled(labelled(stars, "head", "head_label"), "node", "label")
-    split = members.groupBy("token").agg(
+    split = members.groupBy("head").agg(
         F.max(F.col("label") != F.col("head_label")).alias("open"),
         F.count(F.lit(1)).alias("size"),
-        F.any_value("head").alias("head"),
-        F.bit_xor(F.xxhash64("node")).alias("mark"),
-        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2"),
-    )
-    # a block of two has been held against its head; blocks of the same sets give the same pairs
-    split = split.where(F.col("open") & (F.col("size") > (LEAF if nearest else 1))).groupBy("head", "size", "mark", "mark2").agg(F.min("token").alias("token"))
-    split = split.select("token", F.ceil((F.col("size") + 1) / BLOCK_ROWS).cast("int").alias("parts"))
-    inner = members.join(split, "token")
-    everyone = inner.select("token", "parts", "node", "label").unionByName(
-        inner.select("token", "parts", F.col("head").alias("node"), F.col("head_label").alias("label")).distinct()
+        F.any_value("head_label").alias("label"),
     )
+    # a star of one has been held against its head
+    split = split.where(F.col("open") & (F.col("size") > (LEAF if nearest else 1)))
+    split = split.withColumn("parts", F.ceil((F.col("size") + 1) / BLOCK_ROWS).cast("int"))
     shapes = sets.select("node", "n", "counts")
+
+    def everyone(split: DataFrame) -> DataFrame:
+        inner = members.join(split.select("head", "parts"), "head").select("head", "parts", "node", "label")
+        return inner.unionByName(split.select("head", "parts", F.col("head").alias("node"), "label")).join(shapes, "node")
+
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     dealt = (
-        everyone.withColumn("part", part)
+        everyone(split.where(F.col("size") > LEAF))
+        .withColumn("part", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
-            "token", "node", "label",
+            "head", "node", "label", "n", "counts",
             F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), F.col("part").alias("side"),
         )
-        .join(shapes, "node")
     )
-    found = dealt.groupBy("token", "low", "high").applyInArrow(
+    found = dealt.groupBy("head", "low", "high").applyInArrow(
         lambda table: crossing_pairs(table, percent, nearest), "a long, b long"
     )
+    if not nearest:  # stars of one leaf, many in a batch
+        small = everyone(split.where(F.col("size") <= LEAF)).select("head", "node", "label", "n", "counts")
+        small = small.repartition("head").sortWithinPartitions("head")
+        found = found.unionByName(
+            small.mapInArrow(
+                lambda batches: (leaf_pairs(stars, percent) for stars in whole_stars(batches)), "a long, b long"
+            )
+        )
     return found.distinct()
 
 
@@ -315,8 +426,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     described = stored(describe(docs, percent), "shingle-sets")
     sets = described.where("node IS NOT NULL").select("node", "n", "counts").dropDuplicates(["node"])
     sets = stored(sets, "distinct-sets")
-    stars = stored(blocks(described), "blocks")
-    pairs = stars.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    stars = stored(blocks(described).distinct(), "blocks")
+    pairs = stars.select(F.col("head").alias("a"), F.col("node").alias("b"))
     likely = stored(bounded(pairs, sets, percent), "bounded-pairs")
     owner = F.min(F.struct("doc_id", "digest")).alias("owner")
     owners = described.where("node IS NOT NULL").groupBy("node").agg(owner).select("node", "owner.*")
