@@ -431,6 +431,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     likely = stored(bounded(pairs, sets, percent), "bounded-pairs")
     owner = F.min(F.struct("doc_id", "digest")).alias("owner")
     owners = described.where("node IS NOT NULL").groupBy("node").agg(owner).select("node", "owner.*")
+    owners = stored(owners, "owners")
     links = stored(verified(likely, sets, owners, docs, percent), "links")
     tested = likely
     for nearest in (True, False):  # what the nearest partners connect needs no pairs any more
