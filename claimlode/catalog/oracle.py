@@ -357,6 +357,8 @@ def sql() -> dict[str, str]:
             SELECT row_id, patent_id, cell FROM celled WHERE place = 1 AND cell IN (SELECT cell FROM near)""",
         "search_cells": cell_search(1, 10),
         "search_cells_nprobe": cell_search(3, 10),
+        "search_trained_cells_all": f"{VECTOR_SEARCH}, {hits('hits', 'queries', 'corpus')} SELECT {TOP_COLUMNS} FROM hits WHERE rank <= 10",
+        "search_trained_cells_all_l2": f"{VECTOR_SEARCH}, {hits('hits', 'queries', 'corpus', L2)} SELECT {TOP_COLUMNS} FROM hits WHERE rank <= 5",
         "search_cells_all": f"{VECTOR_SEARCH}, {hits('hits', 'queries', 'corpus')} SELECT {TOP_COLUMNS} FROM hits WHERE rank <= 10",
         "hash_encode": HASH_ROWS,
         "encode_text": HASH_ROWS,

@@ -510,6 +510,27 @@ def train_cells(spark, root):
     return trained.select("cell", F.size("centroid").alias("dim"))
 
 
+def _trained_search(spark, root, metric, k):
+    """Train on the first batches, assign and write every row, search all cells: equal to the exact search."""
+    rows = views.corpus(spark, root)
+    sample = numbering.assign_batches(rows, ["row_id"], ["row_id"], size=50).where("batch_id < 4")
+    centroids = cells.train_cells(sample, nlist=8, metric=metric, iterations=10)
+    path = shared_path(spark, "trained-cells")
+    cells.write_cells(cells.assign_cells(rows, centroids, metric), path)
+    stored = spark.read.parquet(path)
+    return _hits(cells.search_cells(views.queries(spark, root), stored, centroids, k, 8, metric))
+
+
+@query
+def search_trained_cells_all(spark, root):
+    return _trained_search(spark, root, vc.INNER, 10)
+
+
+@query
+def search_trained_cells_all_l2(spark, root):
+    return _trained_search(spark, root, vc.L2, 5)
+
+
 @query
 def cell_centroids(spark, root):
     rows = views.label_centroids(spark, root)

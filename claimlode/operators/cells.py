@@ -31,11 +31,15 @@ def train_cells(
 ) -> DataFrame:
     """k-means centroids (cell, centroid) of a training part of the corpus.
 
-    The part is sorted by row id first, so a rerun starts from the same points.
+    The part is sorted by row id first, so a rerun starts from the same points. Null vectors and those with a
+    NaN or infinite value take no part, nor do zero vectors for the inner product: they have no direction.
     """
     measure = "cosine" if metric == INNER else "euclidean"
+    usable = F.forall(vector, lambda x: F.abs(x) < float("inf"))  # NaN is above infinity
+    if metric == INNER:
+        usable &= F.exists(vector, lambda x: x != 0)
     points = (
-        sample.where(F.col(vector).isNotNull())
+        sample.where(usable)
         .repartitionByRange(row_id)
         .sortWithinPartitions(row_id)
         .select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))

@@ -56,20 +56,29 @@ def fetch_block(rows: DataFrame, query_id: str, vector: str) -> QueryBlock:
     return QueryBlock(ids, matrix)
 
 
+def require_unique(ids: pa.Array, query_id: str) -> None:
+    """Two vectors under one id would share its k hits."""
+    if len(ids.unique()) < len(ids):
+        raise ValueError(f"{query_id} is not unique among the queries")
+
+
 def query_blocks(
     queries: DataFrame, query_id: str, vector: str, block_queries: int = BLOCK_QUERIES
 ) -> Iterator[QueryBlock]:
-    """All queries with a vector, in blocks of about ``block_queries``."""
+    """All queries with a vector, in blocks of about ``block_queries``; a repeated id is an error."""
     usable = queries.select(query_id, vector).where(F.col(vector).isNotNull())
     first = fetch_block(usable.limit(block_queries + 1), query_id, vector)
     if len(first) <= block_queries:
+        require_unique(first.ids, query_id)
         yield first
         return
     usable = pinned(usable)
     blocks = -(-usable.count() // block_queries)
     which = F.pmod(F.xxhash64(query_id), F.lit(blocks))
     for block in range(blocks):
-        yield fetch_block(usable.where(which == block), query_id, vector)
+        found = fetch_block(usable.where(which == block), query_id, vector)
+        require_unique(found.ids, query_id)  # equal ids fall into one block
+        yield found
 
 
 class _Best:
@@ -177,8 +186,10 @@ def _scan(
         for batch in batches if len(block) else ():
             _, matrix = dense(batch.column(vector))
             finite = np.isfinite(matrix).all(1)
+            if metric == INNER:
+                finite &= matrix.any(1)
             if not finite.all():
-                # One NaN would blur the ranking of its whole tile; such rows cannot be ranked.
+                # One NaN would blur the ranking of its whole tile, and a zero vector has no direction.
                 batch, matrix = batch.filter(pa.array(finite)), matrix[finite]
             rows = pa.Table.from_batches([batch.select(kept)])
             group = group_codes(rows.column(distinct)) if distinct else None

@@ -135,3 +135,11 @@ def test_cell_means(spark):
     )
     got = {r.cell: r.centroid for r in cells.cell_centroids(df).collect()}
     assert got == {0: [2.0, 4.0], 1: [7.0, 7.0]}
+
+
+def test_training_leaves_out_vectors_without_direction(spark, data):
+    odd = [(900, "z", [0.0] * DIM), (901, "z", None), (902, "z", [float("nan")] * DIM), (903, "z", [float("inf")] * DIM)]
+    more = data[1].unionByName(spark.createDataFrame(odd, data[1].schema))
+    found = cells.train_cells(more, nlist=6)
+    assert found.count() == 6
+    assert all(np.isfinite(r.centroid).all() for r in found.collect())

@@ -40,11 +40,13 @@ def test_batches_resume_where_a_run_stopped(claims):
     assert sorted(set(want.values())) == [2, 3, 4]
 
 
-def test_deep_page_equals_shallow_page(claims, monkeypatch):
-    shallow = numbering.page(claims, ORDER, ["claim_no"], 100, 50).collect()
-    monkeypatch.setattr(numbering, "SHALLOW_PAGE", 0)
-    deep = numbering.page(claims, ORDER, ["claim_no"], 100, 50).collect()
-    assert sorted(map(tuple, deep)) == sorted(map(tuple, shallow)) and len(deep) == 50
+def test_page_has_one_rule_at_any_depth(claims):
+    want = sorted(map(tuple, claims.orderBy(*ORDER).offset(100).limit(50).collect()))
+    found = numbering.page(claims, ORDER, ["claim_no"], 100, 50).collect()
+    assert sorted(map(tuple, found)) == want and len(want) == 50
+    for offset in (0, 20_000):
+        with pytest.raises(ValueError, match="not unique"):
+            numbering.page(claims, ORDER, ["patent_id"], offset, 50)
     assert numbering.page(claims, ORDER, ["claim_no"], 400, 50).count() == 0
 
 

@@ -170,3 +170,19 @@ def test_unrankable_vectors_stay_out(spark):
     asked = spark.createDataFrame([(0, [1.0, 1.0]), (1, [nan, 0.0])], "query_id long, embedding array<float>")
     for metric in ("inner", "l2"):
         assert found(search.topk(asked, corpus, 1, metric)) == {(0, 1, 0)}
+
+
+@pytest.mark.parametrize("block", [4, 1000])
+def test_repeated_query_id_is_an_error(data, block):
+    queries, corpus = data[:2]
+    twice = queries.unionByName(queries.where("query_id = 3"))
+    with pytest.raises(ValueError, match="not unique"):
+        search.topk_inner(twice, corpus, 3, block_queries=block)
+
+
+def test_zero_vectors_stay_out_of_inner_searches(spark, data):
+    queries, corpus = data[:2]
+    odd = spark.createDataFrame([(900, "z", [0.0] * DIM), (901, "z", [float("nan")] * DIM)], SCHEMA)
+    found = search.topk_inner(queries, corpus.unionByName(odd), 300)
+    assert found.where("row_id >= 900").count() == 0
+    assert search.topk_l2(queries, corpus.unionByName(odd), 300).where("row_id = 900").count() == 30
