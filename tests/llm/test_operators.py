@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -327,3 +328,41 @@ def test_empty_tables(spark, docs):
         chat.grouped_turns(spark.createDataFrame([], "conv_id long, turn long, role string, text string")),
     ):
         assert frame.collect() == []
+
+
+def test_leaf_pairs_equal_plain_bounds():
+    rng = np.random.default_rng(5)
+    rows = []
+    for head in range(12):
+        for _ in range(rng.integers(1, 9)):
+            n = int(rng.integers(1, 40))
+            width = int(jaccard.groups(np.array([n]))[0])
+            counts = np.bincount(rng.integers(0, width, n), minlength=width).astype(np.uint8)
+            rows.append((head, len(rows), int(rng.integers(0, 3)), n, counts.tobytes()))
+    names = ["head", "node", "label", "n", "counts"]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=names)
+    want = set()
+    for i, (head, a, label, n, x) in enumerate(rows):
+        for other, b, mark, m, y in rows[i + 1 :]:
+            w = min(len(x), len(y))
+            near = 100 * min(n, m) >= 50 * max(n, m)
+            if head == other and label != mark and near:
+                bound = np.minimum(jaccard.vector(x, w), jaccard.vector(y, w)).sum()
+                if bound >= jaccard.required(np.array(n), np.array(m), 50):
+                    want.add((a, b))
+    parts = [batch.slice(0, 0), batch.slice(0, 7), batch.slice(7, 1), batch.slice(8)]
+    whole = list(jaccard.whole_stars(iter(parts)))
+    assert sum(b.num_rows for b in whole) == len(rows) and want
+    found = [jaccard.leaf_pairs(b, 50) for b in whole]
+    pairs = [p for b in found for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True)]
+    assert sorted(pairs) == sorted(want)
+
+
+def test_places_put_common_shingles_last():
+    hashes = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 60).astype(np.uint64)).reshape(3, 20)
+    level = np.random.default_rng(2).integers(0, 4, 1 << jaccard.COMMON_BITS).astype(np.uint8)
+    row = np.repeat(np.arange(3), 20)
+    found = jaccard.places(hashes.ravel(), row, np.full(3, 20), level).reshape(3, 20)
+    for one, place in zip(hashes, found, strict=True):
+        order = sorted(range(20), key=lambda i: (level[jaccard.bucket(one[i : i + 1])[0]], one[i]))
+        assert [int(place[i]) for i in order] == list(range(20))
