@@ -43,18 +43,77 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose end tag may be missing: a new block ends them.
-OPEN_ENDED = frozenset("p li dt dd tr td th option".split())
 LANDMARKS = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARTS = frozenset("caption tbody thead tfoot tr td th".split())
+#: Elements whose end tag may be missing: the start tags that end them, and the elements between that keep them open.
+OPEN_ENDED = {
+    "p": (BLOCKS - PARTS - {"body", "html", "legend"} | {"dialog"}, frozenset("table caption td th button object".split())),
+    "li": (frozenset(["li"]), BLOCKS - {"address", "div", "p", "li"}),
+    "dt": (frozenset(["dt", "dd"]), BLOCKS - {"address", "div", "p", "dt", "dd"}),
+    "dd": (frozenset(["dt", "dd"]), BLOCKS - {"address", "div", "p", "dt", "dd"}),
+    "td": (PARTS, frozenset(["table"])),
+    "th": (PARTS, frozenset(["table"])),
+    "tr": (PARTS - {"td", "th"}, frozenset(["table"])),
+    "caption": (PARTS, frozenset(["table"])),
+    "tbody": (frozenset(["tbody", "thead", "tfoot"]), frozenset(["table"])),
+    "thead": (frozenset(["tbody", "thead", "tfoot"]), frozenset(["table"])),
+    "tfoot": (frozenset(["tbody", "thead", "tfoot"]), frozenset(["table"])),
+    "option": (frozenset(["option", "optgroup"]), BLOCKS),
+    "a": (frozenset(["a"]), frozenset("table caption td th button object".split())),
+    "button": (frozenset(["button"]), frozenset("table caption td th object".split())),
+}
+IN_HEAD = frozenset("base basefont bgsound link meta head html".split())
+#: Start tag -> the elements that it ends.
+ENDS = {name: {open_ for open_, (by, _) in OPEN_ENDED.items() if name in by} for name in BLOCKS | {"dialog", "option", "optgroup", "a", "button"}}
 
 Token = tuple[str, str, int]  # kind ("word", a tag name, "" for a tag without text), text, landmark number
 
 
+def left_open(opened: list[str], name: str, closing: bool) -> int:
+    """How many of the opened elements stay open at this tag, by the rules of HTML for end tags that are missing."""
+    if closing:
+        if opened and opened[-1] == name:
+            return len(opened) - 1
+        names = HEADINGS if name in HEADINGS else (name,)
+        if name in ("body", "html"):
+            kept: frozenset = frozenset()
+        elif name in PARTS or name == "table":
+            kept = frozenset(["table"])
+        elif name in BLOCKS or name in LEFT_OUT:
+            kept = frozenset("table caption td th object".split()) | (OPEN_ENDED["p"][1] if name == "p" else set())
+            kept |= {"ul", "ol"} if name == "li" else set()
+        else:
+            kept = BLOCKS | LEFT_OUT  # the end of an element within lines ends no block
+        for i in range(len(opened) - 1, -1, -1):
+            if opened[i] in names:
+                return i
+            if opened[i] in kept:
+                break
+        return len(opened)
+    stay = len(opened)
+    if opened and opened[-1] == "head" and name not in IN_HEAD:
+        return stay - 1
+    for ended in ENDS.get(name, ()):
+        if ended not in opened:
+            continue
+        kept = OPEN_ENDED[ended][1]
+        for i in range(len(opened) - 1, -1, -1):
+            if opened[i] == ended:
+                stay = min(stay, i)
+                break
+            if opened[i] in kept:
+                break
+    return stay
+
+
 def tokens(html: str) -> list[Token]:
     """Texts and tags outside of left-out elements, each with the landmark (article, main) it is in, 0 for none."""
     out: list[Token] = []
-    depth, skip, skip_depth = Counter(), "", 0
-    landmarks, inside, marks = 0, 0, Counter()
+    depth, skip = Counter(), ""
+    opened: list[str] = []
+    outer = 0  # so many elements were open where the left-out one began
+    landmarks, inside = 0, 0
     at = 0
 
     def text(upto: int) -> None:
@@ -68,31 +127,34 @@ def tokens(html: str) -> list[Token]:
         if not name:
             continue
         closing = bool(match[2])
+        stay = left_open(opened, name, closing)
+        own = closing and stay < len(opened) and stay == outer
+        del opened[stay:]
         if skip:
-            # the left-out element ends at its own end tag, or where a landmark or the body ends or begins
-            if name == skip:
-                skip_depth += -1 if closing else 1
-            elif name in LANDMARKS and not closing and not depth[name] and skip not in LANDMARKS and skip != "aside":
-                skip_depth = 0
-            elif closing and name in ("body", "html"):
-                skip_depth = 0
-            if skip_depth <= 0:
-                skip = ""
-                if name in LANDMARKS and not closing:
-                    landmarks += 1
-                    inside, marks[name] = landmarks, 1
-                    depth[name] = 1
+            # the left-out element ends at its own end tag, where HTML ends it without one (a new block, an end
+            # tag of what it stands in), or where a landmark begins or the body ends
+            landmark = name in LANDMARKS and not closing and not depth[name] and skip not in LANDMARKS and skip != "aside"
+            if len(opened) > outer and not landmark and not (closing and name in ("body", "html")):
+                if not closing and name not in VOID:
+                    opened.append(name)
+                continue
+            skip = ""
+            del opened[outer:]
+            if own:
                 out.append((name, "", inside))
-            continue
+                continue
         attributes = match[4] or ""
         if not closing and name not in VOID and (
             (name in LEFT_OUT and not (name == "header" and inside))
             or (attributes and beside(name, attributes))
         ):
             if not attributes.rstrip().endswith("/"):
-                skip, skip_depth = name, 1
+                skip, outer = name, len(opened)
+                opened.append(name)
             out.append((name, "", inside))
             continue
+        if not closing and name not in VOID:
+            opened.append(name)
         out.append((name, "", inside))
         if name in LANDMARKS:
             depth[name] += -1 if closing else 1

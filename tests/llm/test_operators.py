@@ -256,6 +256,26 @@ def test_page_regions():
     assert pages.region([-1, 2, 0, 3, -9, 4]) == (1, 4)
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<article><p class='ad'>Buy<p>One<p>Two</article><p>out", "One\nTwo"),
+        ("<article><p class=ad>Buy<div>One</div><p class=ad>Buy<p class=ad>Buy<h2>Two</h2></article>", "One\nTwo"),
+        ("<article><ul><li class='share'>x<ul><li>y</ul><li>One<li class=share>z</ul><p>Two</article>", "One\nTwo"),
+        ("<article><dl><dt class=ad>x<dd>One<dd class=ad>y</dl>Two</article>", "One\nTwo"),
+        ("<article><table><tr><td class=ad>x<td>One<tr class=ad><td>y<td>z<tr><td>Two</table>Three</article>", "One\nTwo\nThree"),
+        ("<article><table><tr><td>One<td class=ad>x<table><tr><td>y</table>z</table>Two</article>", "One\nTwo"),
+        ("<article><div><p class=ad>Buy <span>now</div>One</article>", "One"),
+        ("<article><p class=ad>Buy <b>now</i></p>One</article>", "One"),
+        ("<article>One<div class=ad>x<div>y</div><p>z</div>Two<section><div class=ad>x</section>Three</article>", "One\nTwo\nThree"),
+        ("<article>One one<p class=ad>x</article><div>out</div><article>Two</article>", "One one"),
+        ("<html><head><meta charset=x><title>t</title><body><p>One", "One"),
+    ],
+)
+def test_left_out_elements_without_end_tag(html, want):
+    assert pages.main_text(html, {"word": 3.0, "other": -0.1}) == want
+
+
 def test_adaptive_scan_finds_the_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(400, 32)).astype(np.float32)
