@@ -24,19 +24,32 @@ TAG = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*>?""",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.IGNORECASE)
 #: Elements without text of the article, whatever their class.
 LEFT_OUT = frozenset("head nav header footer aside form button menu dialog input label fieldset object canvas audio video".split())
-#: Words in class, id or role that mark what an article page has beside the article.
-BESIDE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner"
-    r"|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side|aside|complementary|widget|widgets"
-    r"|header|masthead|footer|contentinfo|copyright|comment|comments|commentlist|respond|reply|replies|disqus|discussion"
-    r"|cookie|cookies|consent|notice|notices|gdpr|alert|popup|modal|overlay|newsletter|subscribe|signup|paywall"
-    r"|share|sharing|social|related|recommended|teaser|teasers|tags|pagination|pager|toolbar|search|login)(?=$|[\s_-])",
-    re.IGNORECASE,
+#: Words in class, id, role or label that mark what an article page has beside the article.
+BESIDE = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner"
+    " nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside complementary widget widgets"
+    " header masthead footer contentinfo copyright comment comments commentlist respond reply replies disqus discussion"
+    " cookie cookies consent notice notices gdpr alert popup modal overlay newsletter subscribe signup paywall"
+    " share sharing social related recommended teaser teasers tags pagination pager toolbar search login".split()
 )
+#: Words that may stand with them in a name; any other word ("no-sidebar", "entry-header") makes it another name.
+WITH_BESIDE = frozenset(
+    "site page main global top bottom left right upper lower inner outer primary secondary first last list lists item items"
+    " box block unit slot area section region zone panel bar buttons button links link icons form posts articles stories"
+    " wrapper wrap container holder group row inline mobile desktop sticky fixed google thread js post entry article story blog".split()
+)
+HEADER = frozenset(["header", "masthead"])
+OF_TEXT = frozenset(["post", "entry", "article", "story", "blog"])
+#: Words of names that wrap an article as well as anything else.
+WRAPPER = frozenset(
+    "content contents main page site article post entry hentry story single body layout grid row col column columns"
+    " wrapper wrap container outer inner section primary".split()
+)
+PART = re.compile(r"[\s_-]+")
 #: Elements that begin and end a block.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form "
@@ -114,6 +127,8 @@ def tokens(html: str) -> list[Token]:
     opened: list[str] = []
     outer = 0  # so many elements were open where the left-out one began
     landmarks, inside = 0, 0
+    doubtful: list[tuple[int, int]] = []  # open elements, named both as beside the text and as a wrapper: depth, first token
+    spans: list[tuple[int, int]] = []
     at = 0
 
     def text(upto: int) -> None:
@@ -143,16 +158,23 @@ def tokens(html: str) -> list[Token]:
             if own:
                 out.append((name, "", inside))
                 continue
+        while doubtful and doubtful[-1][0] >= len(opened):
+            spans.append((doubtful.pop()[1], len(out)))
         attributes = match[4] or ""
-        if not closing and name not in VOID and (
-            (name in LEFT_OUT and not (name == "header" and inside))
-            or (attributes and beside(name, attributes))
-        ):
+        what = "no"
+        if not closing and name not in VOID:
+            if name in LEFT_OUT and not (name == "header" and inside):
+                what = "yes"
+            elif attributes:
+                what = beside(name, attributes, inside > 0, depth["article"] > 0)
+        if what == "yes":
             if not attributes.rstrip().endswith("/"):
                 skip, outer = name, len(opened)
                 opened.append(name)
             out.append((name, "", inside))
             continue
+        if what == "open":
+            doubtful.append((len(opened), len(out)))
         if not closing and name not in VOID:
             opened.append(name)
         out.append((name, "", inside))
@@ -166,15 +188,52 @@ def tokens(html: str) -> list[Token]:
             elif total == 0:
                 inside = 0
     text(len(html))
-    return out
+    return without_small(out, spans + [(start, len(out)) for _, start in doubtful])
+
 
+def beside(name: str, attributes: str, inside: bool, nested: bool) -> str:
+    """Whether an element stands beside the article: "yes", "no", or "open" if its names also are those of a wrapper.
 
-def beside(name: str, attributes: str) -> bool:
+    Names are compared whole. ``inside``: in an article or main, where headers belong to the text;
+    ``nested``: in an article, where another one can be a comment or a teaser.
+    """
     if name in ("body", "html", "main"):
-        return False
+        return "no"
     if HIDDEN.search(attributes):
-        return True
-    return any(BESIDE.search(a or b or c) for a, b, c in ATTRIBUTE.findall(attributes))
+        return "yes"
+    if (name == "article" and not nested) or (name == "header" and inside):
+        return "no"
+    found = wrapper = False
+    for kind, *values in ATTRIBUTE.findall(attributes):
+        value = "".join(values).lower()
+        for one in value.split() if kind.lower() == "class" else [value]:
+            parts = {part.rstrip("0123456789") for part in PART.split(one)} - {""}
+            words = parts & BESIDE
+            if words and parts <= BESIDE | WITH_BESIDE:
+                found |= not (words <= HEADER and (inside or parts & OF_TEXT))
+            else:
+                wrapper |= bool(parts) and parts <= WRAPPER
+    return ("open" if wrapper else "yes") if found else "no"
+
+
+def without_small(out: list[Token], spans: list[tuple[int, int]]) -> list[Token]:
+    """Leave out spans that stand beside the text: without a landmark of their own, and fewer words than the rest has."""
+    if not spans:
+        return out
+    words = [0]
+    for kind, text, _ in out:
+        words.append(words[-1] + (len(text.split()) if kind == "word" else 0))
+    both = {side: sum(len(text.split()) for kind, text, inside in out if kind == "word" and (inside > 0) is side) for side in (True, False)}
+    kept, at = [], 0
+    for start, stop in sorted(spans, key=lambda span: (span[0], -span[1])):
+        if start < at:
+            continue  # in a span that is left out
+        side = out[start][2]
+        own = words[stop] - words[start]
+        if 2 * own <= both[side > 0] and all(inside == side for _, _, inside in out[start:stop]):
+            kept += out[at:start]
+            at = stop
+    return kept + out[at:]
 
 
 def region(scores: list[float]) -> tuple[int, int]:

@@ -276,6 +276,32 @@ def test_left_out_elements_without_end_tag(html, want):
     assert pages.main_text(html, {"word": 3.0, "other": -0.1}) == want
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<div class='content no-sidebar'><p>One</p></div>", "One"),
+        ("<div class='has-sidebar'><p>One</p></div>", "One"),
+        ("<div class='row with-sidebar-left'><p>One</p></div>", "One"),
+        ("<article class='post no-comments tags-x'><p>One</p></article>", "One"),
+        ("<article class='post comments'><p>One</p></article>", "One"),
+        ("<article><header class='entry-header'><h1>Title</h1></header><p>One</article>", "Title\nOne"),
+        ("<article><div class='page-header'><h1>Title</h1></div><p>One</article>", "Title\nOne"),
+        ("<div class='content sidebar'><p>One two three</p><div class='sidebar'>x</div></div>", "One two three"),
+        ("<p>One two three</p><div class='row sidebar'>x y</div>", "One two three"),
+        ("<article>One two<div class='related wrapper'>x</div></article>", "One two"),
+        ("<div class='container sidebar'><article>One</article></div>", "One"),
+        ("<div id=site-header>x</div><p>One<div class='ad-banner'>x</div><div class='box comments-list'>x</div>", "One"),
+        ("<article>One<div class='social-share'>x</div><article class=comment>x</article><div aria-label='Related posts'>x</div></article>", "One"),
+        ("<p>One<div class=post data-id='ad'>Two</div>", "One\nTwo"),
+        ("<article hidden>x</article><p>One", "One"),
+        ("<div class=entry-header><h1>Title</h1></div><p>One<div class=post-comments>x</div>", "Title\nOne"),
+        ("<div class=content-sidebar-wrap><p>One</div>", "One"),
+    ],
+)
+def test_names_beside_the_article_are_whole(html, want):
+    assert pages.main_text(html, {"word": 3.0, "other": -0.1}) == want
+
+
 def test_adaptive_scan_finds_the_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(400, 32)).astype(np.float32)
