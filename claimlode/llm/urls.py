@@ -2,7 +2,8 @@
 
 Two smoothed variable-order Markov models over the characters of a URL, one of accepted and one of
 rejected URLs, give a length-normalised log-likelihood difference. The cut between accept and
-reject is calibrated on URLs that the models have not seen.
+reject is calibrated on URLs that the models have not seen; then these are counted as well. The
+models are tables of exact counts by n-gram, which grow with the input and stay on the executors.
 """
 
 from __future__ import annotations
@@ -14,18 +15,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlode.llm.common import mixed, utf8
+from claimlode.llm.common import spare_name, stored, utf8
 
 #: Longest n-gram: a character and up to four before it.
 ORDERS = 5
-#: n-grams of one length are counted in so many cells: a model holds 2 x ORDERS x CELLS numbers.
-CELLS = 1 << 18
+#: About so many rows are scored together; each n-gram in them is looked up once.
+CHUNK = 4096
 #: Weight of the shorter context in the estimate from a longer one.
 SMOOTHING = 2.0
 #: Scores are calibrated on a grid of this step.
 STEP = 0.02
-_BLOCK = 1 << 12
-_PAD = np.uint64(256)
+_PAD, _END = 256, 257
+_BITS = 9  # of a code; the length of an n-gram stands above its codes
+_LENGTH = _BITS * ORDERS
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -49,94 +51,95 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return rule, verdict
 
 
-def gram_cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every character and the end of every text: the cells of the n-grams that end there.
+def gram_keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every character and the end of every text: the n-grams that end there, as numbers of their own.
 
-    Returns (cells by length 1..ORDERS, cells of the context by length 0..ORDERS-1, row numbers).
+    Returns (n-grams by length 1..ORDERS, their contexts by length 0..ORDERS-1, row numbers). A context
+    has the number of the n-gram with the same characters.
     """
     data, offsets = utf8(column)
     n = len(column)
     sizes = np.diff(offsets)
     width = sizes + ORDERS  # ORDERS - 1 signs before, the end sign after
     begin = np.cumsum(width) - width
-    codes = np.full(int(width.sum()), _PAD, np.uint64)
+    codes = np.full(int(width.sum()), _PAD, np.int64)
     codes[np.arange(len(data)) - np.repeat(offsets[:-1] - begin, sizes) + ORDERS - 1] = data
-    codes[begin + width - 1] = _PAD + np.uint64(1)
+    codes[begin + width - 1] = _END
     rows = np.repeat(np.arange(n), sizes + 1)
     at = np.arange(len(rows)) - np.repeat(np.cumsum(sizes + 1) - (sizes + 1), sizes + 1) + begin[rows] + ORDERS - 1
-    context, grams, contexts = np.zeros(len(at), np.uint64), [], [np.zeros(len(at), np.int64)]
-    mask = np.uint64(CELLS - 1)
+    context, grams, contexts = np.zeros(len(at), np.int64), [], [np.zeros(len(at), np.int64)]
     for order in range(1, ORDERS + 1):
-        grams.append((mixed(context * np.uint64(512) + codes[at] + np.uint64(order)) & mask).astype(np.int64))
+        grams.append(order << _LENGTH | context << _BITS | codes[at])
         if order < ORDERS:
-            context = mixed(context ^ mixed(codes[at - order] + np.uint64(order << 16)))
-            contexts.append((context & mask).astype(np.int64))
+            context = context | codes[at - order] << _BITS * (order - 1)
+            contexts.append(order << _LENGTH | context)
     return np.array(grams), np.array(contexts), rows
 
 
-def train(labelled: DataFrame) -> np.ndarray:
-    """Counts of (url, label 0/1) rows: label x (n-gram, context) x order x cell.
+def train(labelled: DataFrame) -> DataFrame:
+    """Counts of (url, label 0/1, held_out 0/1) rows: gram, and c<label><held_out> for each of the four.
 
-    All rows are counted, each task for itself first; the tables have a fixed size, 21 million
-    bytes, so they may go to the driver and to the tasks. Null urls count as empty ones.
+    One row for each distinct n-gram of any length, no bytes of it merged with another. The empty n-gram
+    counts the characters, and one of signs before the text alone the urls, so every context is found
+    among the n-grams. All rows are counted, each batch for itself first. Null urls count as empty ones.
     """
-    size = 2 * 2 * ORDERS * CELLS
+    names = ["gram", "c00", "c01", "c10", "c11"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 2, ORDERS, CELLS), np.int64)
         for batch in batches:
-            grams, contexts, rows = gram_cells(batch.column(0))
-            label = batch.column(1).to_numpy()[rows]
-            for one in (0, 1):
-                for order in range(ORDERS):
-                    counts[one, 0, order] += np.bincount(grams[order][label == one], minlength=CELLS)
-                    counts[one, 1, order] += np.bincount(contexts[order][label == one], minlength=CELLS)
-        flat = counts.ravel()
-        cell = np.flatnonzero(flat)
-        for start in range(0, len(cell), 50_000):
-            part = cell[start : start + 50_000]
-            yield pa.record_batch([pa.array(part), pa.array(flat[part])], names=["cell", "n"])
-
-    def block(rows: pa.Table) -> pa.Table:
-        cell = rows.column("cell").to_numpy()
-        first = cell[0] // _BLOCK * _BLOCK
-        values = np.zeros(_BLOCK, "<i8")
-        values[cell - first] = rows.column("n").to_numpy()
-        return pa.table({"first": pa.array([first]), "counts": pa.array([values.tobytes()])})
-
-    sums = labelled.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    blocks = sums.groupBy((F.col("cell") / _BLOCK).cast("long").alias("block")).applyInArrow(
-        block, "first long, counts binary"
-    )
-    flat = np.zeros(size, np.int64)
-    for row in blocks.toLocalIterator():
-        flat[row["first"] : row["first"] + _BLOCK] = np.frombuffer(row["counts"], "<i8")
-    return flat.reshape(2, 2, ORDERS, CELLS).astype(np.float32)
+            grams, contexts, rows = gram_keys(batch.column(0))
+            kind = 2 * batch.column(1).to_numpy().astype(np.int64) + batch.column(2).to_numpy()
+            first = np.flatnonzero(np.diff(rows, prepend=-1))
+            keys = np.concatenate((grams.ravel(), contexts[0], contexts[1:, first].ravel()))
+            kinds = np.concatenate((np.tile(kind[rows], ORDERS + 1), np.tile(kind[rows[first]], ORDERS - 1)))
+            found, at = np.unique(keys, return_inverse=True)
+            counts = np.bincount(at * 4 + kinds, minlength=4 * len(found)).reshape(-1, 4)
+            yield pa.record_batch([pa.array(found), *(pa.array(counts[:, i]) for i in range(4))], names=names)
 
+    counted = labelled.mapInArrow(count, ", ".join(f"{name} long" for name in names))
+    return counted.groupBy("gram").agg(*(F.sum(name).alias(name) for name in names[1:]))
 
-def score(urls: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Append ``score`` to rows whose first column is the url: mean log ratio of label 1 to label 0."""
-    shared = urls.sparkSession.sparkContext.broadcast(counts)
-    names = [*urls.columns, "score"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
-        for batch in batches:
-            grams, contexts, rows = gram_cells(batch.column(0))
-            total = np.zeros(len(rows))
-            for label, sign in ((1, 1.0), (0, -1.0)):
-                chance = np.full(len(rows), 1 / 258)
-                for order in range(ORDERS):
-                    seen = tables[label, 0, order][grams[order]]
-                    base = np.maximum(tables[label, 1, order][contexts[order]], seen)
-                    chance = (seen + SMOOTHING * chance) / (base + SMOOTHING)
-                total += sign * np.log(chance)
-            n = np.maximum(np.bincount(rows, minlength=batch.num_rows), 1)
-            mean = np.bincount(rows, total, minlength=batch.num_rows) / n
-            yield pa.record_batch([*batch.columns, pa.array(mean)], names=names)
+def score(urls: DataFrame, counts: DataFrame) -> DataFrame:
+    """Append ``score`` to rows whose first column is the url: mean log ratio of label 1 to label 0.
 
+    ``counts`` has gram, n0 and n1. Rows are dealt into chunks by hash; a chunk sends each of its
+    n-grams once to the counts and gets back what is known of them. A frequent n-gram has a row a
+    chunk, not one a url.
+    """
+    names = [*urls.columns, "score"]
+    chunk = spare_name(urls, "_chunk")
+    n_chunks = max(1, -(-urls.count() // CHUNK))
+    dealt = urls.withColumn(chunk, F.pmod(F.xxhash64(*urls.columns), F.lit(n_chunks)))
+
+    def wanted(own: pa.Table) -> pa.Table:
+        grams, contexts, _ = gram_keys(own.column(0).combine_chunks())
+        keys = np.unique(np.concatenate((grams, contexts), axis=None))
+        return pa.table({chunk: pa.array(np.full(len(keys), own.column(1)[0].as_py())), "gram": pa.array(keys)})
+
+    def run(own: pa.Table, known: pa.Table) -> pa.Table:
+        grams, contexts, rows = gram_keys(own.column(0).combine_chunks())
+        keys = known.column("gram").to_numpy()
+        order = np.argsort(keys)
+        keys = np.append(keys[order], np.iinfo(np.int64).max)
+        at, context_at = np.searchsorted(keys, grams), np.searchsorted(keys, contexts)
+        hit, context_hit = keys[at] == grams, keys[context_at] == contexts
+        total = np.zeros(len(rows))
+        for name, sign in (("n1", 1.0), ("n0", -1.0)):
+            n = np.append(known.column(name).to_numpy()[order], 0)
+            chance = np.full(len(rows), 1 / 258)
+            for i in range(ORDERS):
+                seen = n[at[i]] * hit[i]
+                base = n[context_at[i]] * context_hit[i]
+                chance = (seen + SMOOTHING * chance) / (base + SMOOTHING)
+            total += sign * np.log(chance)
+        mean = np.bincount(rows, total, minlength=own.num_rows) / np.bincount(rows, minlength=own.num_rows)
+        return own.drop_columns([chunk]).append_column("score", pa.array(mean)).select(names)
+
+    asked = dealt.select(urls.columns[0], chunk).groupBy(chunk).applyInArrow(wanted, f"`{chunk}` long, gram long")
+    known = asked.join(counts.select("gram", "n0", "n1"), "gram").select(chunk, "gram", "n0", "n1")
     fields = ", ".join(f"`{name}` {kind}" for name, kind in urls.dtypes)
-    return urls.mapInArrow(run, f"{fields}, score double")
+    return dealt.groupBy(chunk).cogroup(known.groupBy(chunk)).applyInArrow(run, f"{fields}, score double")
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -160,10 +163,10 @@ def calibrate(scored: DataFrame) -> float:
 def filter_urls(urls: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """Judge (page_id, url): host, path, rule, verdict (allow or block) and score.
 
-    The longest fitting rule decides. URLs with a rule also teach the models, all of them but
-    every fifth by hash, which calibrate the cut; the models decide the rest. A null or empty url
-    has an empty host and path and is judged by the models. Rows are judged one by one, repeated
-    ones alike.
+    The longest fitting rule decides. URLs with a rule also teach the models: every fifth by hash
+    calibrates the cut of models taught by the others, then all of them are counted. The models decide
+    the rest. A null or empty url has an empty host and path and is judged by the models. Rows are
+    judged one by one, repeated ones alike.
     """
     host, path = host_and_path(F.col("url"))
     rule, verdict = longest_rule(host, path, rules)
@@ -171,9 +174,11 @@ def filter_urls(urls: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
         "url", "page_id", host.alias("host"), path.alias("path"), rule.alias("rule"), verdict.alias("verdict")
     )
     label = (F.col("verdict") == "allow").cast("int")
-    known = judged.where("verdict IS NOT NULL").select("url", label.alias("label"))
-    held_out = F.pmod(F.xxhash64("url"), F.lit(5)) == 0
-    counts = train(known.where(~held_out))
-    cut = calibrate(score(known.where(held_out), counts))
+    held_out = (F.pmod(F.xxhash64("url"), F.lit(5)) == 0).cast("int")
+    known = judged.where("verdict IS NOT NULL").select("url", label.alias("label"), held_out.alias("held_out"))
+    counts = stored(train(known), "url-grams")
+    taught = counts.select("gram", F.col("c00").alias("n0"), F.col("c10").alias("n1")).where("n0 + n1 > 0")
+    cut = calibrate(score(known.where("held_out = 1").select("url", "label"), taught))
+    whole = counts.select("gram", F.expr("c00 + c01").alias("n0"), F.expr("c10 + c11").alias("n1"))
     chosen = F.when(F.col("score") >= F.lit(cut), F.lit("allow")).otherwise(F.lit("block"))
-    return score(judged, counts).withColumn("verdict", F.coalesce("verdict", chosen))
+    return score(judged, whole).withColumn("verdict", F.coalesce("verdict", chosen))

@@ -241,6 +241,45 @@ def test_url_rules_and_models(spark):
     assert (out[900].verdict, out[901].verdict) == ("allow", "block")
 
 
+def plain_scores(known, all_urls):
+    def signs(url):
+        return [256] * 4 + list((url or "").encode()) + [257]
+
+    counts = [{}, {}]
+    for url, label in known:
+        codes = signs(url)
+        for i in range(4, len(codes)):
+            for order in range(1, 6):
+                for key in (("gram", *codes[i - order + 1 : i + 1]), ("context", *codes[i - order + 1 : i])):
+                    key = (order, *key)
+                    counts[label][key] = counts[label].get(key, 0) + 1
+    for url in all_urls:
+        codes, total = signs(url), 0.0
+        for i in range(4, len(codes)):
+            for label, sign in ((1, 1), (0, -1)):
+                chance = 1 / 258
+                for order in range(1, 6):
+                    seen = counts[label].get((order, "gram", *codes[i - order + 1 : i + 1]), 0)
+                    base = counts[label].get((order, "context", *codes[i - order + 1 : i]), 0)
+                    chance = (seen + urls.SMOOTHING * chance) / (base + urls.SMOOTHING)
+                total += sign * np.log(chance)
+        yield total / (len(codes) - 4)
+
+
+def test_url_models_count_every_n_gram_of_every_url_with_a_rule(spark, monkeypatch):
+    monkeypatch.setattr(urls, "CHUNK", 64, raising=False)
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789ü"
+    rows = [(i, f"http://{'ab'[i % 2]}.{['com', 'net', 'org'][i % 3]}/" + "".join(rng.choices(letters, k=60))) for i in range(400)]
+    rows += [(400, None), (401, ""), (402, "x"), (403, "http://a.com/" + "y" * 3000), *[(i, rows[0][1]) for i in range(404, 500)], (404, rows[0][1])]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    got = urls.filter_urls(frame, [("allow", "com/"), ("block", "net/")]).collect()
+    assert sorted((r.page_id, r.url or "") for r in got) == sorted((i, url or "") for i, url in rows)
+    known = [(r.url, int(r.verdict == "allow")) for r in got if r.rule]
+    want = list(plain_scores(known, [r.url for r in got]))
+    assert np.allclose([r.score for r in got], want, rtol=0, atol=1e-9)
+
+
 def test_page_regions():
     weights = {"word": 3.0, "other": -0.1}
     html = (
