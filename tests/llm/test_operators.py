@@ -62,6 +62,16 @@ def test_both_encoders_agree(docs):
         assert packing.byte_bpe()(text).tolist() == slow.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_their_own_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.byte_bpe()("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    for text in ["<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext|", "<|ENDOFTEXT|>", "ß " * 900 + "<|endoftext|>"]:
+        assert packing.byte_bpe()(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
 def test_best_two_fit_replaces_the_smallest():
     counts = np.zeros(11, np.int64)
     counts[[7, 2, 1]] = 1, 1, 2  # 7 + 2 leaves a gap of 1; the piece of 2 cannot be bettered
