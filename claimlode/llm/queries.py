@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlode.llm import chat, jaccard, mixing, neighbours, packing, pages, quality, repeats, sketches, urls
+from claimlode.llm import chat, feast, jaccard, mixing, neighbours, packing, pages, pivots, quality, repeats, sketches, turns, urls
 from claimlode.llm.common import table
 from claimlode.session import ship_package
 
@@ -91,3 +91,19 @@ def op8_html_region(spark, root):
 @query
 def op10_jaccard_join(spark, root):
     return jaccard.jaccard_components(table(spark, root, "documents"), percent=75)
+
+
+@query
+def op11_turn_repair(spark, root):
+    conversations = table(spark, root, "conversations")
+    return turns.repair_report(conversations, turns.damaged(conversations))
+
+
+@query
+def op12_pivot_links(spark, root):
+    return pivots.near_copies(table(spark, root, "embeddings"), threshold=0.93)
+
+
+@query
+def op13_contour_whitening(spark, root):
+    return feast.whitened(table(spark, root, "embeddings"), wanted=4)
