@@ -98,14 +98,34 @@ def vector_key(group: str, vector: str) -> list:
     return [F.xxhash64(F.lit(i), group, vector).alias(f"k{i}") for i in (1, 2)]
 
 
-def reference_points(classes: DataFrame, wanted: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pivots, vectors to calibrate on): unit vectors from a sample by hash, ``wanted`` + TRIALS rows at most."""
-    sample = classes.select("k1", "k2", "vector").orderBy("k1", "k2").limit(wanted + TRIALS).toArrow().column("vector")
-    rows = [np.asarray(v, np.float64) for v in sample.to_pylist()]
+def apart(x: np.ndarray, wanted: int, threshold: float) -> np.ndarray:
+    """The first ``wanted`` unit rows of which no two lie within twice the angle of the threshold.
+
+    Reference points inside one group of near copies would tell its members apart by their order.
+    """
+    nearest = 2 * threshold * threshold - 1
+    kept = np.zeros((0, x.shape[1]))
+    for start in range(0, len(x), 256):
+        some = x[start : start + 256]
+        some = some[(some @ kept.T < nearest).all(1)]
+        near = np.tril(some @ some.T >= nearest, -1)
+        alone = np.ones(len(some), bool)
+        for i in range(len(some)):
+            alone[i] = not near[i, :i][alone[:i]].any()
+        kept = np.concatenate((kept, some[alone]))
+        if len(kept) >= wanted:
+            break
+    return kept[:wanted]
+
+
+def reference_points(classes: DataFrame, wanted: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(pivots, vectors to calibrate on): unit vectors from a sample by hash, 4 x ``wanted`` + TRIALS rows at most."""
+    rows = classes.select("k1", "k2", "vector").orderBy("k1", "k2").limit(4 * wanted + TRIALS).toArrow().column("vector")
+    rows = [np.asarray(v, np.float64) for v in rows.to_pylist()]
     sizes, counts = np.unique([len(r) for r in rows], return_counts=True)
     x = fitted(rows, int(sizes[counts.argmax()]))
     x = unit_rows(x[(x != 0).any(1)])
-    return x[:wanted], x[-TRIALS:]
+    return apart(x[: 4 * wanted], wanted, threshold), x[-TRIALS:]
 
 
 def indexed(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -247,7 +267,7 @@ def near_copies(vectors: DataFrame, threshold: float = 0.93, group: str = "label
     alone = [F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")]
     if not largest:
         return rows.select("vec_id", *alone)
-    pivots, trials = reference_points(classes, max(LEAST_PIVOTS, math.ceil(math.sqrt(largest))))
+    pivots, trials = reference_points(classes, max(LEAST_PIVOTS, math.ceil(math.sqrt(largest))), threshold)
     least, looks = calibrated(trials, pivots, threshold)
     index = stored(indexed(classes, pivots), "pivot-index")
     found = stored(meet(index, least, looks, threshold), "pivot-links")
