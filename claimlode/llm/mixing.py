@@ -83,13 +83,14 @@ def systematic_copies(docs: DataFrame, key: list[str], seed: int = 1) -> DataFra
     group = ["source", band, bucket]
     sums = keyed.groupBy(*group).agg(F.sum(part).alias(before))
     earlier = Window.partitionBy("source").orderBy(band, bucket).rowsBetween(Window.unboundedPreceding, -1)
+    other = {name: spare_name(docs, f"_of_{name}") for name in group}
     starts = sums.select(
-        *(F.col(name).alias(f"{name}__") for name in group),
+        *(F.col(name).alias(other[name]) for name in group),
         F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before),
     )
     running = Window.partitionBy(*group).orderBy("size", *key).rowsBetween(Window.unboundedPreceding, 0)
-    same = [F.col("source").eqNullSafe(F.col("source__"))]
-    same += [F.col(name) == F.col(f"{name}__") for name in group[1:]]
+    same = [F.col("source").eqNullSafe(F.col(other["source"]))]
+    same += [F.col(name) == F.col(other[name]) for name in group[1:]]
     # the first 24 bits of a digest, one number for each source
     digest = F.md5(F.concat_ws("\n", F.lit(str(seed)), "source").cast("binary"))
     offset = F.conv(F.substring(digest, 1, 6), 16, 10).cast("long")
@@ -103,9 +104,10 @@ def systematic_copies(docs: DataFrame, key: list[str], seed: int = 1) -> DataFra
 
 
 def _expected(sized: DataFrame, cycle: Sequence[float], most: float) -> DataFrame:
-    shares = source_targets(sized, cycle, most).withColumnRenamed("source", "source__")
+    named = spare_name(sized, "_of_source")
+    shares = source_targets(sized, cycle, most).withColumnRenamed("source", named)
     share = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    wide = sized.join(shares, F.col("source").eqNullSafe(F.col("source__"))).drop("source__")
+    wide = sized.join(shares, F.col("source").eqNullSafe(F.col(named))).drop(named)
     return wide.withColumn("expected", share)
 
 

@@ -254,6 +254,9 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that the classifier does not reject."""
+    """The rows of ``docs``, all columns, that the classifier does not reject: those with a score of at least 0.5.
+
+    Null and empty texts, repeated rows and a table of labels without use are scored as in ``score_documents``.
+    """
     score = scorer(learn(docs, labels))
     return docs.where(score("text") >= 0.5)

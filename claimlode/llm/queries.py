@@ -80,7 +80,7 @@ def op9_quality_chain(spark, root):
 
 @query
 def op3_suffix_dedup(spark, root):
-    return repeats.removal_report(table(spark, root, "documents"), length=400)
+    return repeats.removal_report(table(spark, root, "documents"), length=400, show=True)
 
 
 @query

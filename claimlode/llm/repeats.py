@@ -15,13 +15,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlode.llm.common import _byte_value, mixed, powers, slices, spare_name, stored, utf8
+from claimlode.llm.common import WORD, _byte_value, mixed, powers, slices, spare_name, stored, utf8, word_borders, word_hashes
 
 #: Bytes of a repeated string, and of the k-gram that an anchor is chosen by.
 LENGTH, GRAM = 400, 64
+#: Words of a repeated passage: the shortest that is over 50 words.
+PASSAGE = 51
+#: Bytes that stand for a word where passages are compared word by word.
+CODE = 8
 #: A k-gram with more different fragments than this is counted window by window over many tasks.
 HOT_FRAGMENTS = 20_000
 #: Fragments that one sort takes together: whole groups up to this many.
@@ -42,6 +46,18 @@ class Hashes:
         return (self.prefix[start + length] - self.prefix[start]) * self.back[start]
 
 
+#: A text column as bytes to compare, and the row borders in them.
+Bytes = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
+
+def word_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Every word of a text column as the CODE bytes of its hash, and the row borders: white space does not count."""
+    data, offsets = utf8(column)
+    starts, ends, rows = word_borders(data, offsets)
+    codes = word_hashes(data, starts, ends, lower=False)
+    return codes.view(np.uint8), np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(column))))) * CODE
+
+
 def window_anchors(data: np.ndarray, base: int, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """For every window start the place of its smallest k-gram hash, leftmost; and all k-gram hashes."""
     hashes = mixed(Hashes(data, base).of(np.arange(len(data) - gram + 1), gram))
@@ -264,18 +280,20 @@ def sort_groups(length: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]],
 
 
 def repeated_spans(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_FRAGMENTS
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_FRAGMENTS, coded: Bytes = utf8
 ) -> DataFrame:
     """(doc, doc_id, from, to): bytes of the texts of (doc, doc_id, text) that repeat anywhere.
 
-    ``doc`` is a hash of id and text; rows equal in both count as one document here.
+    ``doc`` is a hash of id and text; rows equal in both count as one document here. ``coded`` says which bytes
+    stand for a text. A k-gram with more than ``hot`` different surroundings is counted by SHA-256 digests, which
+    are trusted; elsewhere bytes confirm each repeat.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "doc_id", "gram", "anchor", "lo", "hi"]
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
-                data, offsets = utf8(part.column("text"))
+                data, offsets = coded(part.column("text"))
                 rows = list(text_anchors(data, offsets, length, gram))
                 row, *rest = zip(*rows, strict=True) if rows else [()] * 5
                 of = pa.array(row, pa.int64())
@@ -294,8 +312,9 @@ def repeated_spans(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row in batch.to_pylist():
-                text = row["text"].encode()
+            data, offsets = coded(batch.column("text"))
+            for i, row in enumerate(batch.drop_columns(["text"]).to_pylist()):
+                text = data[offsets[i] : offsets[i + 1]].tobytes()
                 for mark in row["marks"]:
                     piece = text[mark["lo"] : mark["hi"] + length]
                     at = mark["anchor"] - mark["lo"]
@@ -347,23 +366,27 @@ def counted_windows(fragments: DataFrame, length: int) -> DataFrame:
     )
 
 
-def with_spans(docs: DataFrame, length: int, gram: int, hot: int) -> tuple[DataFrame, str]:
+def with_spans(
+    docs: DataFrame, length: int, gram: int, hot: int, coded: Bytes = utf8, size: Column | None = None
+) -> tuple[DataFrame, str]:
     """``docs`` with a column that lists the repeated spans of each text, and that column's name.
 
-    Rows of equal id and text are copies of each other, so all of a long enough one repeats.
+    Rows of equal id and text are copies of each other, so all of a long enough one repeats. ``size`` is the number
+    of bytes that ``coded`` makes of a text.
     """
     key, copies, spans = (spare_name(docs, name) for name in ("_doc", "_copies", "_spans"))
+    doc, doc_id = spare_name(docs, "_of_doc"), spare_name(docs, "_of_doc_id")
     text = F.coalesce("text", F.lit(""))
     keyed = docs.withColumn(key, F.xxhash64("doc_id", text))
     entries = keyed.select(F.col(key).alias("doc"), "doc_id", text.alias("text"))
-    found = repeated_spans(entries, length, gram, hot)
+    found = repeated_spans(entries, length, gram, hot, coded)
     lists = found.groupBy("doc", "doc_id").agg(F.collect_list(F.struct("from", "to")).alias(spans))
     twice = entries.groupBy("doc", "doc_id").agg(F.count(F.lit(1)).alias(copies)).where(F.col(copies) > 1)
     for side in (lists, twice):
-        side = side.withColumnsRenamed({"doc": "doc__", "doc_id": "doc_id__"})
-        same = (F.col(key) == F.col("doc__")) & F.col("doc_id").eqNullSafe(F.col("doc_id__"))
-        keyed = keyed.join(side, same, "left").drop("doc__", "doc_id__")
-    size = F.octet_length(text).cast("long")
+        side = side.withColumnsRenamed({"doc": doc, "doc_id": doc_id})
+        same = (F.col(key) == F.col(doc)) & F.col("doc_id").eqNullSafe(F.col(doc_id))
+        keyed = keyed.join(side, same, "left").drop(doc, doc_id)
+    size = F.octet_length(text).cast("long") if size is None else size
     whole = F.array(F.struct(F.lit(0).cast("long").alias("from"), size.alias("to")))
     column = F.when(F.col(copies).isNotNull() & (size >= length), whole).otherwise(F.col(spans))
     return keyed.withColumn(spans, column).drop(key, copies), spans
@@ -385,12 +408,14 @@ def remaining(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(borders[::2], borders[1::2], strict=True))
 
 
-def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_FRAGMENTS) -> DataFrame:
-    """Per row of (doc_id, text): n_bytes, n_removed, n_spans, kept_sha256.
+def removal_report(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_FRAGMENTS, show: bool = False
+) -> DataFrame:
+    """Per row of (doc_id, text): n_bytes (before), n_removed, n_spans, kept_sha256 and, to ``show``, text (what is left).
 
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else as well. A null
     text is empty; ids may be null or repeated; equal rows are copies of each other. Other columns
-    are ignored.
+    are ignored. Where a cut falls inside a character, the text shows a replacement sign; the digest is of the bytes.
     """
     wide, column = with_spans(docs.select("doc_id", "text"), length, gram, hot)
 
@@ -401,14 +426,15 @@ def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                 data = (text.as_py() or "").encode()
                 cut = merged_spans(spans.as_py())
                 kept = remaining(data, cut)
-                out.append((len(data), len(data) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
-            columns = zip(*out, strict=True) if out else [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+                told = (len(data), len(data) - len(kept), len(cut), hashlib.sha256(kept).hexdigest())
+                out.append((*told, kept.decode(errors="replace")) if show else told)
+            columns = zip(*out, strict=True) if out else [()] * len(kinds)
             arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.record_batch([batch.column(0), *arrays], names=names)
 
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * show
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()] + [pa.string()] * show
+    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * show
     return wide.select("doc_id", "text", column).mapInArrow(run, fields)
 
 
@@ -438,7 +464,40 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
             out.append(value)
         return pa.array(out, pa.string())
 
-    kept = wide.withColumn("text", keep("text", column))
+    return with_text(docs, wide, keep("text", column))
+
+
+def with_text(docs: DataFrame, wide: DataFrame, text: Column) -> DataFrame:
+    """The columns of ``docs`` with a new ``text``, which ``n_chars`` follows."""
+    kept = wide.withColumn("text", text)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
+
+
+def without_passages(docs: DataFrame, words: int = PASSAGE, gram: int = GRAM, hot: int = HOT_FRAGMENTS) -> DataFrame:
+    """``docs``, all rows and columns, with every passage of ``words`` words and more that occurs more than once cut out.
+
+    The suffixes that are sorted are those of the word sequences: passages are the same if their words are, whatever
+    white space stands between them; case counts. A passage is judged on the texts as given: every
+    occurrence goes, the first too, and one that repeats inside its own text. White space around a cut stays. An
+    ``n_chars`` column follows the new text. A null text stays null, an empty one or one of fewer words stays as it is; rows equal
+    in id and text are copies of each other. Words are compared by 64-bit hashes.
+    """
+    size = (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) * CODE).cast("long")
+    wide, column = with_spans(docs, CODE * words, gram, hot, word_codes, size)
+
+    @F.arrow_udf("string")
+    def keep(text: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for one, parts in zip(text, spans, strict=True):
+            value = one.as_py()
+            if value is not None and parts.is_valid:
+                data = value.encode()
+                starts, ends, _ = word_borders(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+                cut = [(-(-a // CODE), b // CODE) for a, b in merged_spans(parts.as_py())]
+                value = remaining(data, [(int(starts[a]), int(ends[b - 1])) for a, b in cut if b - a >= words]).decode()
+            out.append(value)
+        return pa.array(out, pa.string())
+
+    return with_text(docs, wide, keep("text", column))
