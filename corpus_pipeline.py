@@ -10,31 +10,37 @@ from claimlode.session import ship_package
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, taught by the table of labels, does not reject."""
+    """Documents that the quality classifier, taught by the table of labels, does not reject.
+
+    Null and empty texts are judged as the model judges a text without lines; all columns stay.
+    """
     ship_package(spark)
     return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies; null and empty texts are near nothing and stay, as do all columns."""
     ship_package(spark)
     return jaccard.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 400 bytes and more that still occur more than once."""
+    """Documents without the passages of over 50 words that still occur more than once.
+
+    All rows stay; a null or empty text, and columns besides text and n_chars, stay as they are.
+    """
     ship_package(spark)
-    return repeats.without_repeats(docs)
+    return repeats.without_passages(docs, words=51)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; a null source is a source, empty texts have no size to take."""
     ship_package(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences: one row per piece of a document with its place."""
+    """Token sequences: one row per piece of a document with its place; a null text is empty."""
     ship_package(spark)
     return packing.pack_documents(docs)
 
