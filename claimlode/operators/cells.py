@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +13,27 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimlode.functions.vectors import INNER, L2, dense, nearest_ids
-from claimlode.operators.search import BLOCK_QUERIES, QueryBlock, _merge, _scan, query_blocks
-from claimlode.session import pinned
+from claimlode.functions.vectors import INNER, METRICS, dense, gains, nearest_ids, rank_keys
+from claimlode.operators.joins import grid_cut
+from claimlode.operators.search import (
+    BLOCK_QUERIES,
+    QueryBlock,
+    _Best,
+    _merge,
+    hit_schema,
+    narrowed,
+    offer,
+    require_unique,
+    told,
+)
+from claimlode.session import stored
 
 # Centroids handed to the tasks at once.
 BLOCK_CENTROIDS = 16_384
+# Rows of one cell that meet its probes in one task; a larger cell is cut.
+CELL_ROWS = 32_768
 
 
 def train_cells(
@@ -60,6 +76,16 @@ def cell_centroids(df: DataFrame, cell: str = "cell", vector: str = "embedding")
     )
 
 
+def centroid_blocks(centroids: DataFrame, size: int = BLOCK_CENTROIDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(cells, matrix) of all centroids, in blocks of ``size``: a model's parameters, never rows of the corpus."""
+    usable = centroids.select("cell", "centroid").where(F.col("centroid").isNotNull()).orderBy("cell")
+    table = usable.toArrow().combine_chunks()
+    cells = table.column("cell").to_numpy()
+    _, matrix = dense(table.column("centroid").combine_chunks()) if len(cells) else (None, None)
+    for start in range(0, len(cells), size):
+        yield cells[start : start + size], matrix[start : start + size]
+
+
 def nearest_cells(
     df: DataFrame,
     centroids: DataFrame,
@@ -73,9 +99,8 @@ def nearest_cells(
     Centroids go to the tasks in blocks of bounded size; the blocks' lists are merged by score.
     """
     lists = [
-        nearest_ids(block.ids.to_numpy(), block.matrix, metric, count)(F.col(vector))
-        for block in query_blocks(centroids, "cell", "centroid", block_centroids)
-        if len(block)
+        nearest_ids(cells, matrix, metric, count)(F.col(vector))
+        for cells, matrix in centroid_blocks(centroids, block_centroids)
     ]
     if not lists:
         raise ValueError("no centroids")
@@ -91,6 +116,100 @@ def assign_cells(
     return found.withColumn("cell", F.element_at("cells", 1)).drop("cells")
 
 
+@dataclass
+class CellTree:
+    """Cells grouped under coarse cells, and how many coarse cells a vector has to look into."""
+
+    cells: np.ndarray
+    matrix: np.ndarray
+    group: np.ndarray
+    coarse: np.ndarray
+    looks: int
+
+
+def nearest_in_tree(tree: CellTree, rows: np.ndarray, metric: str, looks: int) -> tuple[np.ndarray, int]:
+    """(each row's best cell among its ``looks`` nearest coarse cells, comparisons made)."""
+    order = np.argsort(-gains(rows, tree.coarse, metric), axis=1, kind="stable")[:, :looks]
+    best = np.full(len(rows), -1, np.int64)
+    keys = np.full(len(rows), np.iinfo(np.int64).max)
+    compared = rows.shape[0] * len(tree.coarse)
+    for group in np.unique(order):
+        inside = np.flatnonzero((order == group).any(1))
+        members = np.flatnonzero(tree.group == group)
+        if not len(members):
+            continue
+        found = rank_keys(gains(rows[inside], tree.matrix[members], metric))
+        compared += found.size
+        place = found.argmin(1)
+        key, cell = found[np.arange(len(inside)), place], tree.cells[members[place]]
+        # equal scores go to the lowest cell, whichever group it is in
+        nearer = (key < keys[inside]) | (key == keys[inside]) & (cell < best[inside])
+        keys[inside[nearer]], best[inside[nearer]] = key[nearer], cell[nearer]
+    return best, compared
+
+
+def cell_tree(
+    centroids: DataFrame,
+    sample: DataFrame,
+    metric: str = INNER,
+    agreement: float = 0.995,
+    sample_rows: int = 2_000,
+    vector: str = "embedding",
+    row_id: str = "row_id",
+    seed: int = 42,
+) -> CellTree:
+    """A two-level quantiser over trained centroids: cells of cells.
+
+    The centroids are clustered into about the square root of their number. How many coarse cells a vector looks
+    into is the least that gives ``agreement`` with the flat assignment on ``sample_rows`` rows of ``sample``,
+    those of lowest id hash; with clustered data that is a few, and an assignment compares some multiple of the square root of
+    the number of cells. Looking into all of them is the flat assignment. Fails without centroids.
+    """
+    blocks = list(centroid_blocks(centroids))
+    if not blocks:
+        raise ValueError("no centroids")
+    cells, matrix = (np.concatenate(part) for part in zip(*blocks))
+    n_coarse = math.ceil(math.sqrt(len(cells)))
+    points = centroids.select(F.col("cell").alias(row_id), F.col("centroid").alias(vector))
+    groups = train_cells(points, n_coarse, metric, seed, vector=vector, row_id=row_id)
+    coarse = np.concatenate([block for _, block in centroid_blocks(groups)])
+    tree = CellTree(cells, matrix, np.argmax(gains(matrix, coarse, metric), axis=1), coarse, len(coarse))
+    some = sample.where(F.col(vector).isNotNull()).orderBy(F.xxhash64(row_id), row_id).limit(sample_rows)
+    _, rows = dense(some.select(vector).toArrow().column(0).combine_chunks())
+    rows = rows[np.isfinite(rows).all(1)] if len(rows) else rows
+    if len(rows):
+        flat, _ = nearest_in_tree(tree, rows, metric, len(coarse))
+        for looks in range(1, len(coarse)):
+            if (nearest_in_tree(tree, rows, metric, looks)[0] == flat).mean() >= agreement:
+                tree.looks = looks
+                break
+    return tree
+
+
+def assign_cells_by_tree(
+    corpus: DataFrame, tree: CellTree, metric: str = INNER, vector: str = "embedding", looks: int | None = None
+) -> DataFrame:
+    """Add each row's ``cell`` and the ``compared`` centroids; row-local. ``looks`` overrides the tree's own.
+
+    Rows without a vector are left out, as in :func:`assign_cells`; a vector with a NaN or infinite value gets a null cell.
+    """
+    wide = tree.looks if looks is None else looks
+
+    @F.arrow_udf("struct<cell: int, compared: double>")
+    def nearest(vectors: pa.Array) -> pa.Array:
+        _, rows = dense(vectors)
+        cells, each = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+        good = np.isfinite(rows).all(1) if len(rows) else np.zeros(0, bool)
+        for start in range(0, int(good.sum()), 8192):
+            at = np.flatnonzero(good)[start : start + 8192]
+            cells[at], compared = nearest_in_tree(tree, rows[at], metric, wide)
+            each[at] = compared / len(at)
+        return pa.StructArray.from_arrays([pa.array(cells.astype(np.int32), mask=~good), pa.array(each)], names=["cell", "compared"])
+
+    found = corpus.where(F.col(vector).isNotNull()).withColumn("_found", nearest.asNondeterministic()(F.col(vector)))
+    return found.withColumns({"cell": F.col("_found.cell"), "compared": F.col("_found.compared")}).drop("_found")
+
+
 def write_cells(assigned: DataFrame, path: str) -> None:
     """Lay the corpus out as one folder per cell.
 
@@ -109,40 +228,44 @@ def probe_join(probes: DataFrame, cells: DataFrame) -> DataFrame:
     return cells.join(probes.select("cell").distinct(), "cell", "left_semi")
 
 
-def _cell_blocks(
-    probes: DataFrame, query_id: str, vector: str, block_queries: int
-) -> Iterator[QueryBlock]:
-    """Probes (query, cell, vector) in bounded blocks that each touch few cells."""
-    first = probes.limit(block_queries + 1).toArrow()
-    if first.num_rows <= block_queries:
-        yield _cell_block(first, query_id, vector)
-        return
-    probes = pinned(probes)
-    sizes = probes.groupBy("cell").count().orderBy("cell").collect()
-    group: list[int] = []
-    filled = 0
-    for row in [*sizes, None]:
-        if group and (row is None or filled + row["count"] > block_queries):
-            inside = probes.where(F.col("cell").isin(group))
-            slices = -(-filled // block_queries)
-            which = F.pmod(F.xxhash64(query_id), F.lit(slices))
-            for part in range(slices):
-                yield _cell_block(inside.where(which == part).toArrow(), query_id, vector)
-            group, filled = [], 0
-        if row is not None:
-            group.append(row["cell"])
-            filled += row["count"]
-
-
-def _cell_block(table: pa.Table, query_id: str, vector: str) -> QueryBlock:
-    _, matrix = dense(table.column(vector).combine_chunks())
-    encoded = table.column(query_id).combine_chunks().dictionary_encode()
-    place = encoded.indices.to_numpy(zero_copy_only=False)
-    cells = table.column("cell").to_numpy()
-    unique = np.empty((len(encoded.dictionary), matrix.shape[1] if len(matrix) else 0))
-    unique[place] = matrix
-    by_cell = {int(c): place[cells == c].astype(np.int64) for c in np.unique(cells)}
-    return QueryBlock(encoded.dictionary, unique, by_cell)
+def _search_probes(
+    probes: DataFrame,
+    cells: DataFrame,
+    k: int,
+    metric: str,
+    query_id: str,
+    row_id: str,
+    vector: str,
+    carry: tuple[str, ...],
+    distinct: str | None,
+    block_queries: int,
+) -> DataFrame:
+    """Candidates per probed cell: the probes and the rows of a cell meet in tasks of bounded size.
+
+    ``probes`` hold (query id, cell, vector). Only folders of probed cells are read. A cell with more than
+    CELL_ROWS rows or ``block_queries`` probes is cut into parts on both sides.
+    """
+    kept = [row_id, *carry]
+    rows = probe_join(probes, narrowed(cells, row_id, vector, carry, "cell"))
+    asked = probes.select("cell", F.col(query_id).alias("_query"), F.col(vector).alias("_asked"))
+    left, right = grid_cut(rows, asked, "cell", CELL_ROWS, block_queries)
+    schema = hit_schema(probes.schema[query_id], [rows.schema[name] for name in kept])
+    names = schema.fieldNames()
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        if rows.num_rows and asked.num_rows:
+            _, matrix = dense(rows.column(vector).combine_chunks())
+            _, wanted = dense(asked.column("_asked").combine_chunks())
+            block = QueryBlock(asked.column("_query").combine_chunks(), wanted)
+            best = _Best(block, k, distinct)
+            offer(best, block, matrix, rows.select(kept).combine_chunks(), metric)
+            if len(best.query):
+                return told(best, block, metric, names)
+        kinds = [asked.schema.field("_query").type, *(rows.schema.field(name).type for name in kept), pa.int64(), pa.float64()]
+        return pa.table([pa.array([], kind) for kind in kinds], names=names)
+
+    keys = ["cell", "_left_part", "_right_part"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
 
 def search_cells(
@@ -162,24 +285,69 @@ def search_cells(
 ) -> DataFrame:
     """Approximate top-k: each query meets only the rows of its ``nprobe`` nearest cells.
 
-    Query blocks are cut along the cells, and each block reads only the folders of its own cells,
-    so many queries together still read the corpus about once. A query may get fewer than k rows;
-    nothing is padded.
+    Probes and cell rows meet by cell on the executors, hot cells cut on both sides; only the probed
+    cells' folders are read, each once. A query may get fewer than k rows; nothing is padded. A
+    repeated query id is an error.
     """
-    if metric not in (INNER, L2):
+    if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}")
     carry = tuple(carry)
     if distinct is not None and distinct not in carry:
         carry += (distinct,)
     usable = queries.select(query_id, vector).where(F.col(vector).isNotNull())
-    probes = nearest_cells(usable, centroids, nprobe, metric, vector).select(
-        query_id, F.explode("cells").alias("cell"), vector
-    )
-    found = None
-    for block in _cell_blocks(probes, query_id, vector, block_queries):
-        touched = cells.where(F.col("cell").isin(sorted(block.by_cell)))
-        part = _scan(
-            touched, block, queries.schema[query_id], k, metric, row_id, vector, carry, distinct, "cell"
-        )
-        found = part if found is None else found.union(part)
+    require_unique(usable, query_id)
+    near = nearest_cells(usable, centroids, nprobe, metric, vector)
+    probes = stored(near.select(query_id, F.explode("cells").alias("cell"), vector), "probes")
+    found = _search_probes(probes, cells, k, metric, query_id, row_id, vector, carry, distinct, block_queries)
     return _merge(found, query_id, row_id, carry, k, distinct)
+
+
+def search_cells_until(
+    queries: DataFrame,
+    cells: DataFrame,
+    centroids: DataFrame,
+    group: str = "patent_id",
+    k: int = 10,
+    nprobe: int = 1,
+    metric: str = INNER,
+    *,
+    query_id: str = "query_id",
+    row_id: str = "row_id",
+    vector: str = "embedding",
+    carry: tuple[str, ...] = (),
+    block_queries: int = BLOCK_QUERIES,
+) -> DataFrame:
+    """The k best groups per query, each by its best row, probing further cells while a query has fewer than k.
+
+    A query reads its ``nprobe`` nearest cells first. While it has found fewer than k different values of ``group``, its
+    number of cells doubles, until all are read. So a result is only short if the whole corpus has fewer groups,
+    and a search that starts with all cells is the exact one. ``probed`` tells how many cells a query has
+    read. Each round reads only the cells it adds, for the queries that are short.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}")
+    carry = tuple(dict.fromkeys([*carry, group]))
+    usable = queries.select(query_id, vector).where(F.col(vector).isNotNull())
+    require_unique(usable, query_id)
+    total = centroids.where(F.col("centroid").isNotNull()).count()
+    order = stored(nearest_cells(usable, centroids, total, metric, vector), "cell-order")
+    pending, hits, read, upto, rounds = order, None, 0, min(nprobe, total), []
+    while True:
+        some = F.slice("cells", read + 1, upto - read)
+        probes = stored(pending.select(query_id, F.explode(some).alias("cell"), vector), "probes")
+        found = _search_probes(probes, cells, k, metric, query_id, row_id, vector, carry, group, block_queries)
+        hits = stored(found if hits is None else hits.unionByName(found), "cell-hits")
+        rounds.append(pending.select(query_id, F.lit(upto).alias("probed")))
+        if upto >= total:
+            break
+        full = hits.groupBy(query_id).agg(F.count_distinct(group).alias("_groups")).where(F.col("_groups") >= k)
+        pending = stored(pending.join(full, query_id, "left_anti"), "short-queries")
+        if pending.isEmpty():
+            break
+        read, upto = upto, min(total, 2 * upto)
+    probed = rounds[0]
+    for more in rounds[1:]:
+        probed = probed.unionByName(more)
+    probed = probed.groupBy(query_id).agg(F.max("probed").alias("probed"))
+    best = _merge(hits, query_id, row_id, carry, k, group)
+    return best.join(probed, query_id).select(*best.columns, "probed")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlode.functions.text import strip_space
-from claimlode.session import pinned
+from claimlode.session import stored
 
 # A key holding more rows than this is spread over several tasks.
 SPREAD_ROWS = 1_000_000
@@ -56,6 +56,43 @@ def spread_join(
     return joined.drop("_slice")
 
 
+def grid_cut(
+    left: DataFrame, right: DataFrame, key: str, left_rows: int, right_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_left_part`` and ``_right_part``: equal keys meet in a grid of parts.
+
+    A key with more than ``left_rows`` or ``right_rows`` rows is cut on that side into parts of about so many, and
+    each part is repeated for the other side's parts, so that every pair of rows meets exactly
+    once. The list of cut keys is stored before it is joined: the planner knows its size, which is at
+    most the rows of a side divided by its limit.
+    """
+
+    def parts(rows: DataFrame, limit: int, name: str) -> DataFrame:
+        long = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+        return long.select(key, F.ceil(F.col("_n") / limit).cast("int").alias(name))
+
+    cuts = parts(left, left_rows, "_a").join(parts(right, right_rows, "_b"), key, "full")
+    cuts = stored(cuts.select(key, F.coalesce("_a", F.lit(1)).alias("_a"), F.coalesce("_b", F.lit(1)).alias("_b")), "cuts")
+
+    def dealt(rows: DataFrame, mine: str, theirs: str, part: str, other: str) -> DataFrame:
+        # The partition id, taken before the join, spreads even rows that are equal in every column.
+        hashed = rows.withColumn("_spread", F.xxhash64(*rows.columns, F.spark_partition_id()))
+        own = F.pmod("_spread", F.coalesce(mine, F.lit(1)).cast("bigint")).cast("int")
+        each = F.explode(F.sequence(F.lit(0), F.coalesce(theirs, F.lit(1)) - 1))
+        return hashed.join(cuts, key, "left").withColumn(part, own).withColumn(other, each).drop("_a", "_b", "_spread")
+
+    return (
+        dealt(left, "_a", "_b", "_left_part", "_right_part"),
+        dealt(right, "_b", "_a", "_right_part", "_left_part"),
+    )
+
+
+def grid_join(left: DataFrame, right: DataFrame, key: str, left_rows: int = SPREAD_ROWS, right_rows: int = SPREAD_ROWS) -> DataFrame:
+    """Inner equi-join where one key may hold a large part of both sides: see :func:`grid_cut`."""
+    a, b = grid_cut(left, right, key, left_rows, right_rows)
+    return a.join(b, [key, "_left_part", "_right_part"]).drop("_left_part", "_right_part")
+
+
 def left_join_1n(left: DataFrame, right: DataFrame, on: str, **spread) -> DataFrame:
     """Left join that fails when a key repeats on the left; unmatched left rows stay.
 
@@ -138,29 +175,24 @@ def match_groups(a: DataFrame, b: DataFrame, id_col: str, text: str) -> DataFram
 
 
 def exact_text_match(
-    a: DataFrame, b: DataFrame, id_col: str, text: str, **spread
+    a: DataFrame, b: DataFrame, id_col: str, text: str, hot_rows: int = SPREAD_ROWS
 ) -> DataFrame:
     """All (a, b) row pairs of equal stripped text, with a's untouched text.
 
-    Rows are matched by text key, and only rows with a partner reach the pair join, where hot
-    texts are sliced on the a side. The result itself has rows_a x rows_b lines per text, so on
-    two big collections of copies use :func:`match_groups`.
+    Rows are matched by text key, and only rows with a partner reach the pair join. A text copied on
+    both sides is cut on both, into parts of ``hot_rows`` rows. The result itself has rows_a x rows_b
+    lines per text, so on two big collections of copies use :func:`match_groups`.
     """
     keyed_a, keyed_b = _with_key(a, text), _with_key(b, text)
-    common = pinned(
-        keyed_a.groupBy("text_key")
-        .agg(F.count("*").alias("rows_a"))
-        .join(keyed_b.select("text_key").distinct(), "text_key", "left_semi")
-    )
-    rows_a = common.agg(F.coalesce(F.sum("rows_a"), F.lit(0))).first()[0]
+    common = keyed_a.select("text_key").distinct().join(keyed_b.select("text_key").distinct(), "text_key", "left_semi")
+    common = stored(common, "common-texts")
     left = keyed_a.join(common, "text_key", "left_semi").select(
         "text_key", F.col(id_col).alias("patent_a"), F.col(text).alias("matched_claim")
     )
     right = keyed_b.join(common, "text_key", "left_semi").select(
         "text_key", F.col(id_col).alias("patent_b")
     )
-    pairs = spread_join(left, right, "text_key", rows=rows_a, **spread)
-    return pairs.select("patent_a", "patent_b", "matched_claim")
+    return grid_join(left, right, "text_key", hot_rows, hot_rows).select("patent_a", "patent_b", "matched_claim")
 
 
 def keep_in_list(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:

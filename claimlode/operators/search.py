@@ -1,7 +1,9 @@
-"""Exact top-k search: bounded query blocks meet the corpus where it lies.
+"""Exact top-k search: blocks of queries meet chunks of the corpus inside the tasks.
 
-Each task keeps the k best rows per query of its own partition, so only k rows per query and task
-are shuffled, whatever the corpus size. The corpus itself never moves.
+Queries and corpus rows are packed into rows of some thousand vectors. Every task pairs the chunks of
+its own part of the corpus with all query blocks, which it reads from a stored table: neither a query
+vector nor a corpus row passes the driver, and the corpus is not shuffled. Each task keeps the k
+best rows per query, so only those are.
 """
 
 from __future__ import annotations
@@ -25,60 +27,97 @@ from claimlode.functions.vectors import (
     rank_keys,
     score_against,
 )
-from claimlode.session import pinned
+from claimlode.session import stored
 
-# Queries broadcast at once. 16384 queries of 384 doubles are 50 MB; more queries make more blocks.
-BLOCK_QUERIES = 16_384
+# Queries in a block, and corpus rows in a chunk: 6 MB each at 384 floats.
+BLOCK_QUERIES = 4_096
+CHUNK_ROWS = 4_096
+# Query values that one task goes through (128 MB of doubles); more queries scan the corpus again.
+SCAN_VALUES = 1 << 24
 # Score cells computed at once inside a task (32 MB of doubles).
 TILE_CELLS = 4_000_000
+# Candidates of a query are ranked in so many slices first, then the slices' best.
+SLICES = 16
 # Rounding moves a score by at most half a step; one step of slack keeps every possible tie.
 SLACK = 10.0**-RANK_DIGITS
 
 
 @dataclass
 class QueryBlock:
-    """A bounded set of queries: ids, their matrix and, for cell search, the queries per cell."""
+    """A bounded set of queries: ids, their matrix and the gains below which a row cannot enter a result."""
 
     ids: pa.Array
     matrix: np.ndarray
-    by_cell: dict[int, np.ndarray] | None = None
     floor: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.ids)
 
 
-def fetch_block(rows: DataFrame, query_id: str, vector: str) -> QueryBlock:
-    """Bring one bounded set of queries to the driver as a matrix."""
-    table = rows.select(query_id, vector).toArrow().combine_chunks()
-    ids = table.column(0).combine_chunks()
-    _, matrix = dense(table.column(1).combine_chunks())
-    return QueryBlock(ids, matrix)
-
+def packed(rows: DataFrame, vector: str, size: int) -> DataFrame:
+    """Up to ``size`` rows of a task as one: every column becomes an array, ``vector`` one flat array of all values."""
+    names = rows.columns
+    schema = T.StructType(
+        [
+            field if field.name == vector else T.StructField(field.name, T.ArrayType(field.dataType))
+            for field in rows.schema
+        ]
+    )
 
-def require_unique(ids: pa.Array, query_id: str) -> None:
-    """Two vectors under one id would share its k hits."""
-    if len(ids.unique()) < len(ids):
+    def one(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        columns = []
+        for name in names:
+            column = table.column(name).combine_chunks()
+            if name == vector:
+                lengths = column.value_lengths().to_numpy()
+                if lengths.min() != lengths.max():
+                    raise ValueError("vectors of unequal dimension in one table")
+                column = column.flatten()
+            columns.append(pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column))
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            start = 0
+            while start < batch.num_rows:
+                part = batch.slice(start, size - count)
+                held.append(part)
+                start, count = start + part.num_rows, count + part.num_rows
+                if count == size:
+                    yield one(held)
+                    held, count = [], 0
+        if held:
+            yield one(held)
+
+    return rows.mapInArrow(pack, schema)
+
+
+def require_unique(queries: DataFrame, query_id: str) -> None:
+    """Two vectors under one id would share its k hits. Only two numbers reach the driver."""
+    most = queries.groupBy(query_id).count().agg(F.max("count")).first()[0]
+    if (most or 0) > 1:
         raise ValueError(f"{query_id} is not unique among the queries")
 
 
-def query_blocks(
-    queries: DataFrame, query_id: str, vector: str, block_queries: int = BLOCK_QUERIES
-) -> Iterator[QueryBlock]:
-    """All queries with a vector, in blocks of about ``block_queries``; a repeated id is an error."""
-    usable = queries.select(query_id, vector).where(F.col(vector).isNotNull())
-    first = fetch_block(usable.limit(block_queries + 1), query_id, vector)
-    if len(first) <= block_queries:
-        require_unique(first.ids, query_id)
-        yield first
-        return
-    usable = pinned(usable)
-    blocks = -(-usable.count() // block_queries)
-    which = F.pmod(F.xxhash64(query_id), F.lit(blocks))
-    for block in range(blocks):
-        found = fetch_block(usable.where(which == block), query_id, vector)
-        require_unique(found.ids, query_id)  # equal ids fall into one block
-        yield found
+def query_table(
+    queries: DataFrame, query_id: str, vector: str, block_queries: int, floor: str | None = None
+) -> DataFrame:
+    """All queries with a vector as a stored table of blocks (_block, _ids, _floors, _values).
+
+    A repeated id is an error. The table has one partition per SCAN_VALUES values.
+    """
+    usable = queries.where(F.col(vector).isNotNull()).select(
+        F.col(query_id).alias("_ids"),
+        (F.col(floor) if floor else F.lit(None)).cast("double").alias("_floors"),
+        F.col(vector).alias("_values"),
+    )
+    blocks = packed(usable.repartition("_ids"), "_values", block_queries)
+    blocks = stored(blocks.withColumn("_block", F.monotonically_increasing_id()), "query-blocks")
+    require_unique(blocks.select(F.explode("_ids").alias(query_id)), query_id)
+    values = blocks.agg(F.sum(F.size("_values").cast("bigint"))).first()[0]
+    return blocks.coalesce(max(1, -(-(values or 0) // SCAN_VALUES)))
 
 
 class _Best:
@@ -149,9 +188,57 @@ def group_codes(column: pa.ChunkedArray) -> np.ndarray:
     return codes.fill_null(-1).to_numpy(zero_copy_only=False)
 
 
+def usable_rows(matrix: np.ndarray, metric: str) -> np.ndarray:
+    """One NaN would blur the ranking of its whole tile, and a zero vector has no direction."""
+    finite = np.isfinite(matrix).all(1)
+    return finite & matrix.any(1) if metric == INNER else finite
+
+
+def offer(best: _Best, block: QueryBlock, matrix: np.ndarray, rows: pa.Table, metric: str) -> None:
+    """Score rows against all queries of a block, tile by tile, and keep what may enter the result."""
+    good = usable_rows(matrix, metric)
+    if not good.all():
+        matrix, rows = matrix[good], rows.filter(pa.array(good))
+    if not len(block) or not len(matrix):
+        return
+    group = group_codes(rows.column(best.distinct)) if best.distinct else None
+    found = []
+    step = max(1, TILE_CELLS // len(matrix))
+    for start in range(0, len(block), step):
+        some = np.arange(start, min(len(block), start + step))
+        gain = gains(block.matrix[some], matrix, metric)
+        q, r = best.candidates(some, gain, group)
+        found.append((some[q], gain[q, r], r))
+    if sum(len(f[0]) for f in found):
+        query, gain, place = (np.concatenate(column) for column in zip(*found))
+        best.add(query, gain, rows.take(pa.array(place)))
+
+
+def told(best: _Best, block: QueryBlock, metric: str, names: list[str]) -> pa.Table:
+    """A task's candidates: (query id, row id, carried columns, _key, score)."""
+    score = best.gain if metric == INNER else -best.gain
+    columns = [
+        block.ids.take(pa.array(best.query)),
+        *[column.combine_chunks() for column in best.rows.columns],
+        pa.array(rank_keys(best.gain)),
+        pa.array(score),
+    ]
+    return pa.Table.from_arrays(columns, names=names)
+
+
+def hit_schema(query_field: T.StructField, fields: list[T.StructField]) -> T.StructType:
+    return T.StructType(
+        [query_field, *fields, T.StructField("_key", T.LongType()), T.StructField("score", T.DoubleType())]
+    )
+
+
+def narrowed(corpus: DataFrame, row_id: str, vector: str, carry: tuple[str, ...], *more: str) -> DataFrame:
+    return corpus.select(F.col(row_id).cast("long").alias(row_id), *carry, *more, vector).where(F.col(vector).isNotNull())
+
+
 def _scan(
     corpus: DataFrame,
-    block: QueryBlock,
+    blocks: DataFrame,
     query_field: T.StructField,
     k: int,
     metric: str,
@@ -159,115 +246,68 @@ def _scan(
     vector: str,
     carry: tuple[str, ...],
     distinct: str | None,
-    cell: str | None = None,
 ) -> DataFrame:
     """Candidates of every task: (query id, row id, carried columns, _key, score)."""
     kept = [row_id, *carry]
-    narrow = corpus.select(
-        F.col(row_id).cast("long").alias(row_id),
-        *carry,
-        *([cell] if cell else []),
-        vector,
-    ).where(F.col(vector).isNotNull())
-    schema = T.StructType(
-        [
-            query_field,
-            *[narrow.schema[name] for name in kept],
-            T.StructField("_key", T.LongType()),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    shared = corpus.sparkSession.sparkContext.broadcast(block)
+    narrow = narrowed(corpus, row_id, vector, carry)
+    schema = hit_schema(query_field, [narrow.schema[name] for name in kept])
+    names = schema.fieldNames()
+    # Each task reads its chunks once and goes through all blocks for each; nothing is shuffled or broadcast.
+    met = packed(narrow, vector, CHUNK_ROWS).crossJoin(blocks.hint("shuffle_replicate_nl"))
 
     def best_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        best = _Best(block, k, distinct)
-        everyone = np.arange(len(block))
-        for batch in batches if len(block) else ():
-            _, matrix = dense(batch.column(vector))
-            finite = np.isfinite(matrix).all(1)
-            if metric == INNER:
-                finite &= matrix.any(1)
-            if not finite.all():
-                # One NaN would blur the ranking of its whole tile, and a zero vector has no direction.
-                batch, matrix = batch.filter(pa.array(finite)), matrix[finite]
-            rows = pa.Table.from_batches([batch.select(kept)])
-            group = group_codes(rows.column(distinct)) if distinct else None
-            if cell is None:
-                parts = [(everyone, slice(None))]
-            else:
-                cells = batch.column(cell).to_numpy(zero_copy_only=False)
-                parts = [
-                    (block.by_cell[c], np.flatnonzero(cells == c))
-                    for c in np.unique(cells).tolist()
-                    if c in block.by_cell
-                ]
-            found = []
-            for queries, inside in parts:
-                points = matrix[inside]
-                places = everyone_in(inside, len(matrix))
-                step = max(1, TILE_CELLS // max(1, len(points)))
-                for start in range(0, len(queries), step):
-                    some = queries[start : start + step]
-                    gain = gains(block.matrix[some], points, metric)
-                    q, r = best.candidates(some, gain, None if group is None else group[inside])
-                    found.append((some[q], gain[q, r], places[r]))
-            if sum(len(f[0]) for f in found):
-                query, gain, place = (np.concatenate(column) for column in zip(*found))
-                best.add(query, gain, rows.take(pa.array(place)))
-        if len(best.query):
-            score = best.gain if metric == INNER else -best.gain
-            columns = [
-                block.ids.take(pa.array(best.query)),
-                *[column.combine_chunks() for column in best.rows.columns],
-                pa.array(rank_keys(best.gain)),
-                pa.array(score),
-            ]
-            table = pa.Table.from_arrays(columns, names=schema.fieldNames())
-            yield from table.to_batches(max_chunksize=10_000)
-
-    return narrow.mapInArrow(best_rows, schema)
-
-
-def everyone_in(inside: slice | np.ndarray, size: int) -> np.ndarray:
-    return np.arange(size) if isinstance(inside, slice) else inside
+        seen: dict[int, tuple[QueryBlock, _Best]] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number = batch.column("_block")[i].as_py()
+                if number not in seen:
+                    ids = batch.column("_ids")[i].values
+                    matrix = batch.column("_values")[i].values.to_numpy(zero_copy_only=False)
+                    floor = batch.column("_floors")[i].values.to_numpy(zero_copy_only=False)
+                    floor = np.where(np.isnan(floor), -np.inf, floor)
+                    block = QueryBlock(ids, matrix.astype(np.float64).reshape(len(ids), -1), floor)
+                    seen[number] = block, _Best(block, k, distinct)
+                block, best = seen[number]
+                rows = pa.table([batch.column(name)[i].values for name in kept], names=kept)
+                matrix = batch.column(vector)[i].values.to_numpy(zero_copy_only=False)
+                offer(best, block, matrix.astype(np.float64).reshape(len(rows), -1), rows, metric)
+        for block, best in seen.values():
+            if len(best.query):
+                yield from told(best, block, metric, names).to_batches(max_chunksize=10_000)
+
+    return met.mapInArrow(best_rows, schema)
 
 
 def _merge(
     found: DataFrame, query_id: str, row_id: str, carry: tuple[str, ...], k: int, distinct: str | None
 ) -> DataFrame:
-    """The final k per query from the tasks' candidates, with their rank."""
+    """The final k per query from the tasks' candidates, with their rank, in two steps.
+
+    First the k best of each (query, slice), then of each query: however many tasks there were, the last
+    step sees at most SLICES x k rows of a query.
+    """
+    sliced = F.pmod(F.xxhash64(distinct or row_id), F.lit(SLICES)).cast("int")
+    # One shuffle serves the grouping and the first ranking; equal groups fall into one slice.
+    found = found.withColumn("_slice", sliced).repartition(query_id, "_slice")
     if distinct is not None:
-        # One shuffle serves both the grouping and the ranking window.
-        rest = [name for name in found.columns if name not in (query_id, distinct)]
+        rest = [name for name in found.columns if name not in (query_id, "_slice", distinct)]
         ordered = F.struct("_key", row_id, *[n for n in rest if n not in ("_key", row_id)])
         found = (
-            found.repartition(query_id)
-            .groupBy(query_id, distinct)
+            found.groupBy(query_id, "_slice", distinct)
             .agg(F.min(ordered).alias("_first"))
-            .select(query_id, distinct, "_first.*")
+            .select(query_id, "_slice", distinct, "_first.*")
         )
-    order = Window.partitionBy(query_id).orderBy("_key", row_id)
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select(query_id, "rank", row_id, *carry, "score")
-    )
+    for keys in ([query_id, "_slice"], [query_id]):
+        order = Window.partitionBy(*keys).orderBy("_key", row_id)
+        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.select(query_id, "rank", row_id, *carry, "score")
 
 
-def _with_floor(block: QueryBlock, seed_hits: DataFrame, query_id: str, k: int) -> QueryBlock:
-    """Start every task from the k-th score that a part of the corpus already reaches."""
-    full = (
-        seed_hits.groupBy(query_id)
-        .agg(F.count("*").alias("n"), F.min("_gain").alias("gain"))
-        .where(F.col("n") >= k)
-        .toArrow()
-    )
-    floor = np.full(len(block), -np.inf)
-    place = {value: i for i, value in enumerate(block.ids.to_pylist())}
-    where = [place[value] for value in full.column(query_id).to_pylist()]
-    floor[where] = full.column("gain").to_numpy() - SLACK
-    return QueryBlock(block.ids, block.matrix, block.by_cell, floor)
+def _floors(seed_hits: DataFrame, query_id: str, k: int, metric: str) -> DataFrame:
+    """The gain that a query's k-th hit in a part of the corpus already reaches."""
+    gain = F.col("score") if metric == INNER else -F.col("score")
+    full = seed_hits.groupBy(query_id).agg(F.count("*").alias("_n"), F.min(gain).alias("_gain"))
+    return full.where(F.col("_n") >= k).select(query_id, (F.col("_gain") - SLACK).alias("_floor"))
 
 
 def topk(
@@ -290,26 +330,24 @@ def topk(
     ``RANK_DIGITS`` places, ties by ``row_id``. With ``distinct`` only the best row of each value
     of that column counts, so a query gets k different values whenever the corpus has them.
 
-    Queries come in blocks of ``block_queries``, each broadcast and answered in one corpus scan;
-    store computed vectors before searching with several blocks. ``seed`` may be any part of the
-    corpus, e.g. one batch: its k-th scores let every task drop hopeless rows at once, which keeps
-    the shuffle small when the corpus has very many partitions. It never changes the result.
+    Queries come in blocks of ``block_queries``; the corpus is scanned once for every SCAN_VALUES of their
+    values. ``seed`` may be any part of the corpus, e.g. one batch: its k-th scores let every task
+    drop hopeless rows at once, which keeps the shuffle small when the corpus has very many
+    partitions. It never changes the result.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}")
     carry = tuple(carry)
     if distinct is not None and distinct not in carry:
         carry += (distinct,)
-    found = None
-    for block in query_blocks(queries, query_id, vector, block_queries):
-        plan = (queries.schema[query_id], k, metric, row_id, vector, carry, distinct)
-        if seed is not None and len(block):
-            early = _merge(_scan(seed, block, *plan), query_id, row_id, carry, k, distinct)
-            gain = F.col("score") if metric == INNER else -F.col("score")
-            block = _with_floor(block, early.withColumn("_gain", gain), query_id, k)
-        part = _scan(corpus, block, *plan)
-        found = part if found is None else found.union(part)
-    return _merge(found, query_id, row_id, carry, k, distinct)
+    asked = queries.select(query_id, vector)
+    blocks = query_table(asked, query_id, vector, block_queries)
+    plan = (queries.schema[query_id], k, metric, row_id, vector, carry, distinct)
+    if seed is not None:
+        early = _merge(_scan(seed, blocks, *plan), query_id, row_id, carry, k, distinct)
+        floors = _floors(early, query_id, k, metric)
+        blocks = query_table(asked.join(floors, query_id, "left"), query_id, vector, block_queries, "_floor")
+    return _merge(_scan(corpus, blocks, *plan), query_id, row_id, carry, k, distinct)
 
 
 def topk_inner(queries: DataFrame, corpus: DataFrame, k: int = 10, **options) -> DataFrame:
@@ -380,12 +418,9 @@ def rank_all(
     name: str = "score",
 ) -> DataFrame:
     """Every corpus row with its score for one query; a projection, nothing is shuffled."""
-    block = fetch_block(
-        query.select(F.lit(0).alias("_q"), vector).where(F.col(vector).isNotNull()).limit(2),
-        "_q",
-        vector,
-    )
-    if len(block) != 1:
+    rows = query.select(vector).where(F.col(vector).isNotNull()).limit(2).toArrow()
+    if rows.num_rows != 1:
         raise ValueError("rank_all takes exactly one query vector")
-    score = score_against(block.matrix[0], metric)
+    _, matrix = dense(rows.column(0).combine_chunks())
+    score = score_against(matrix[0], metric)
     return corpus.where(F.col(vector).isNotNull()).withColumn(name, score(F.col(vector)))

@@ -67,3 +67,10 @@ def pinned(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the checkpoint folder, so a lost executor cannot change its values."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a parquet table in the shared folder: computed once, of known size, safe against lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -131,12 +131,13 @@ def test_no_queries_and_bad_metric(data):
 
 def test_candidates_are_cut_before_the_shuffle(data):
     queries, corpus, *_ = data
-    block = next(search.query_blocks(queries, "query_id", "embedding"))
+    blocks = search.query_table(queries, "query_id", "embedding", 1000)
     part = search._scan(
-        corpus, block, queries.schema["query_id"], 3, "inner", "row_id", "embedding", (), None
+        corpus, blocks, queries.schema["query_id"], 3, "inner", "row_id", "embedding", (), None
     )
     per_task = part.groupBy("query_id", F.spark_partition_id().alias("p")).count()
-    assert per_task.where("count > 3").isEmpty() and len(block) == 30
+    assert per_task.where("count > 3").isEmpty()
+    assert blocks.agg(F.sum(F.size("_ids"))).first()[0] == 30
 
 
 def test_only_needed_columns_are_scanned(data, tmp_path):
