@@ -92,6 +92,11 @@ def hashed(name: str, source: str, key: str, text: str, dim: int = 64) -> str:
   GROUP BY 1)"""
 
 
+def values(vector: str = "v") -> str:
+    """All values of a vector in order, as text with six decimals."""
+    return f"array_to_string(list_transform({vector}, lambda x: printf('%.6f', x)), ',') AS vector_values"
+
+
 INNER = "list_inner_product(q.v, c.v)"
 L2 = "pow(list_distance(q.v, c.v), 2)"
 
@@ -191,7 +196,7 @@ query AS (SELECT v FROM joined ORDER BY pos, row_id LIMIT 1)"""
 
 HASH_ROWS = f"""WITH {CLEANED}, {hashed("coded", "cleaned", "row_id", "cleaned_claim")}
 SELECT row_id, (d - 1)::INTEGER AS dim, round(v[d], 6) + 0.0 AS value
-FROM coded, range(1, 65) AS r(d)"""
+FROM cleaned LEFT JOIN coded USING (row_id) LEFT JOIN range(1, 65) AS r(d) ON v IS NOT NULL"""
 
 SIDES = f"""{CLAIMS},
 sided AS (
@@ -210,6 +215,12 @@ def sql() -> dict[str, str]:
             ORDER BY patent_id, claim_no OFFSET 100 LIMIT 50""",
         "page_deep": """SELECT o_orderkey, o_custkey FROM orders
             ORDER BY o_orderkey OFFSET 12000 LIMIT 500""",
+        "page_indexed": """
+            WITH placed AS (SELECT o_orderkey, o_custkey, o_totalprice, count(*) OVER () AS n,
+                row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS place FROM orders),
+            pages AS (SELECT 0 AS page, 0 AS first UNION ALL SELECT 1, count(*) // 2 FROM orders
+              UNION ALL SELECT 2, count(*) - 20 FROM orders)
+            SELECT o_orderkey, o_custkey, o_totalprice, page FROM placed JOIN pages ON place BETWEEN first AND first + 49""",
         "assign_batches": """SELECT doc_id, source, position, (position // 64)::INTEGER AS batch_id FROM (
             SELECT doc_id, source, row_number() OVER (ORDER BY source, doc_id) - 1 AS position
             FROM documents)""",
@@ -220,10 +231,28 @@ def sql() -> dict[str, str]:
         "csv_round_trip": f"WITH {CLEANED} SELECT patent_id, nullif(cleaned_claim, '') AS cleaned_claim FROM cleaned",
         "write_batches": f"WITH {BATCHES} SELECT batch_id, pos, patent_id, cleaned_claim FROM meta",
         "append_vectors": f"""WITH {BATCHES}
-            SELECT patent_id, cleaned_claim, round(list_sum(v), 6) + 0.0 AS total FROM zipped""",
+            SELECT patent_id, cleaned_claim, {values()} FROM zipped""",
+        "vector_table": f"WITH {BATCHES} SELECT patent_id, cleaned_claim, {values()} FROM zipped",
+        "import_vector_files": f"WITH {BATCHES} SELECT batch_id, pos, {values()} FROM vectors",
+        "import_batch_files": f"""WITH {BATCHES}
+            SELECT batch_id, pos, patent_id, cleaned_claim, {values()} FROM zipped""",
+        "load_batches": f"""WITH {BATCHES}
+            SELECT batch_id, CASE WHEN batch_id = 3 AND status = 'ok' THEN 'failed' ELSE status END AS status,
+              coalesce(meta_rows, 0) AS manifest_rows,
+              CASE WHEN status = 'ok' AND batch_id <> 3 THEN meta_rows ELSE 0 END AS written_rows FROM paired""",
+        "load_audit_real": f"""WITH {BATCHES},
+            told AS (SELECT batch_id, coalesce(meta_rows, 0) AS listed,
+              CASE WHEN status = 'ok' AND batch_id <> 3 THEN meta_rows ELSE 0 END AS written FROM paired),
+            loads(load, low, high, stranger) AS (VALUES (0, 0, 1, 0), (1, 2, 1000000000, 0), (2, 1, 1, 1)),
+            summed AS (SELECT load, sum(listed)::BIGINT AS expected, sum(written)::BIGINT AS reported,
+                (sum(written) + max(stranger) * (SELECT count(*) FROM zipped WHERE batch_id = 0))::BIGINT AS delta
+              FROM loads JOIN told ON batch_id BETWEEN low AND high GROUP BY 1)
+            SELECT load, expected, reported, (sum(delta) OVER w - delta)::BIGINT AS before,
+              (sum(delta) OVER w)::BIGINT AS after, delta,
+              CASE WHEN delta <> reported THEN 'WARNING' WHEN reported <> expected THEN 'NOTE' ELSE 'OK' END AS verdict
+            FROM summed WINDOW w AS (ORDER BY load)""",
         "pair_batches": f"WITH {BATCHES} SELECT batch_id, meta_rows, vector_rows, status FROM paired",
-        "zip_rows_checked": f"""WITH {BATCHES} SELECT batch_id, pos, patent_id, cleaned_claim,
-            round(v[1], 6) + 0.0 AS first_value FROM zipped""",
+        "zip_rows_checked": f"WITH {BATCHES} SELECT batch_id, pos, patent_id, cleaned_claim, {values()} FROM zipped",
         "load_audit": f"""WITH {BATCHES}, totals AS (
             SELECT (SELECT count(*) FROM meta) AS expected, (SELECT count(*) FROM zipped) AS reported)
             SELECT expected, reported, 0::BIGINT AS before, reported AS after, reported AS delta,
@@ -236,8 +265,8 @@ def sql() -> dict[str, str]:
         "union_batches": """SELECT doc_id AS row_id, text FROM documents UNION ALL
             SELECT item_id, text FROM benchmark UNION ALL SELECT page_id, html FROM pages""",
         "ingest_incremental": f"""WITH {CLEANED}, {hashed("coded", "cleaned", "row_id", "cleaned_claim")}
-            SELECT c.row_id, c.patent_id, c.claim_text, c.cleaned_claim, 0 AS batch_id,
-            round(list_sum(v), 6) + 0.0 AS total FROM cleaned AS c LEFT JOIN coded USING (row_id)""",
+            SELECT c.row_id, c.patent_id, c.claim_text, c.cleaned_claim, {values()}
+            FROM cleaned AS c LEFT JOIN coded USING (row_id)""",
         "clean_claim": f"SELECT page_id, {clean('html')} AS cleaned FROM pages",
         "clean_claim_docs": f"WITH {CLEANED} SELECT row_id, cleaned_claim FROM cleaned",
         "blank_filter": f"""WITH {CLEANED} SELECT row_id, claim_text IS NULL OR
@@ -275,11 +304,15 @@ def sql() -> dict[str, str]:
             "round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) + 0.0"),
         "fmt4": """SELECT l_orderkey, l_linenumber, printf('%.4f', l_extendedprice / 7) AS price
             FROM lineitem""",
-        "parse_vector": """SELECT vec_id AS row_id, len(embedding)::INTEGER AS dim,
-            round(list_sum(embedding::DOUBLE[]), 6) + 0.0 AS total FROM embeddings""",
+        "parse_vector": f"""SELECT vec_id AS row_id, len(embedding)::INTEGER AS dim,
+            {values("embedding::DOUBLE[]")} FROM embeddings""",
         "project_columns": f"""WITH {CLAIMS} SELECT claim_text AS claim, patent_id,
             NULL::VARCHAR AS top_patents, NULL::VARCHAR AS found_itself FROM claims""",
         "drop_nulls": f"WITH {EXTERNAL} SELECT query_id, pos, publication_number FROM external WHERE publication_number IS NOT NULL",
+        "values_table": f"""WITH {CLAIMS},
+            listed(patent_id, note) AS (VALUES ('1000000', 'first'), ('1000007', 'kept'), ('1000049', 'kept'),
+              ('42', 'unknown'), (NULL, 'none'))
+            SELECT l.patent_id, note, row_id FROM listed AS l LEFT JOIN claims AS c ON c.patent_id = l.patent_id""",
         "left_join_1n": f"""WITH {LISTED}, {CLEANED}
             SELECT l.patent_id, l.pos, c.row_id, c.cleaned_claim
             FROM listed AS l LEFT JOIN cleaned AS c ON c.patent_id = l.patent_id""",
@@ -374,6 +407,8 @@ def sql() -> dict[str, str]:
             WHERE h.rank <= 10""",
         "self_retrieval": f"""WITH {RETRIEVAL}
             SELECT query_id, patent_id, claim, top_patents, found_itself FROM checked""",
+        "self_retrieval_cells": f"""WITH {RETRIEVAL}
+            SELECT query_id, patent_id, claim, top_patents, found_itself FROM checked""",
         "similarity_log": f"""WITH {RETRIEVAL}
             SELECT query_id, patent_id, claim, top_patents, similarities, found_itself FROM checked""",
         "attach_external": f"""WITH {CORPUS}, {LISTS} SELECT row_id AS query_id, patent_id, external_patents
@@ -382,9 +417,50 @@ def sql() -> dict[str, str]:
               SELECT label::BIGINT AS query_id, list(DISTINCT patent_id) AS ids FROM corpus GROUP BY 1)
             SELECT query_id, coalesce(len(list_intersect(ids, numbers)), 0)::INTEGER AS overlap
             FROM known LEFT JOIN lists USING (query_id)""",
+        "stamped_result": f"""{VECTOR_SEARCH}, {hits('hits', 'queries', 'corpus')}
+            SELECT query_id, rank::INTEGER AS rank, row_id, patent_id, round(score, 6) + 0.0 AS score
+            FROM hits WHERE rank <= 5 AND query_id % 10 = 0""",
+        "search_cells_recall": f"""WITH {CENTROIDS},
+            {hits('exact', '(SELECT row_id AS query_id, v FROM corpus)', 'corpus')},
+            stored AS (SELECT row_id, patent_id, v, cell FROM celled WHERE place = 1),
+            asked AS (SELECT row_id AS query_id, v, cell, place FROM celled),
+            pairs AS MATERIALIZED (SELECT q.query_id, c.row_id, q.place, list_inner_product(q.v, c.v) AS score
+              FROM asked AS q JOIN stored AS c ON q.cell = c.cell),
+            near AS (SELECT * FROM (
+              SELECT p.nprobe, query_id, row_id, row_number() OVER (PARTITION BY p.nprobe, query_id
+                ORDER BY round(score, 6) DESC, row_id) AS rank
+              FROM pairs JOIN (VALUES (1), (3), (10)) AS p(nprobe) ON place <= p.nprobe) WHERE rank <= 10)
+            SELECT p.nprobe, count(*) AS wanted, count(n.row_id) AS found, round(count(n.row_id) / count(*), 6) AS recall
+            FROM (SELECT query_id, row_id FROM exact WHERE rank <= 10) AS e
+            CROSS JOIN (VALUES (1), (3), (10)) AS p(nprobe)
+            LEFT JOIN near AS n ON n.nprobe = p.nprobe AND n.query_id = e.query_id AND n.row_id = e.row_id
+            GROUP BY 1""",
+        "search_cells_until": f"""WITH {CENTROIDS},
+            stored AS (SELECT c.row_id, label, c.v, cell FROM celled AS c JOIN corpus AS r USING (row_id) WHERE place = 1),
+            asked AS (SELECT row_id AS query_id, v, cell, place FROM celled),
+            pairs AS MATERIALIZED (SELECT q.query_id, c.row_id, c.label, q.place, list_inner_product(q.v, c.v) AS score
+              FROM asked AS q JOIN stored AS c ON q.cell = c.cell),
+            rounds(upto) AS (VALUES (1), (2), (4), (8), (10)),
+            enough AS (SELECT query_id, min(CASE WHEN labels >= 8 OR upto = 10 THEN upto END) AS probed FROM (
+              SELECT query_id, upto, count(DISTINCT label) AS labels FROM pairs JOIN rounds ON place <= upto GROUP BY 1, 2)
+              GROUP BY 1),
+            firsts AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY round(score, 6) DESC, row_id) AS nth
+              FROM pairs JOIN enough USING (query_id) WHERE place <= probed),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, row_id) AS rank
+              FROM firsts WHERE nth = 1)
+            SELECT query_id, rank::INTEGER AS rank, row_id, label, round(score, 6) + 0.0 AS score, probed
+            FROM ranked WHERE rank <= 8""",
+        "assign_cells_tree": f"""WITH {CORPUS},
+            flat AS (SELECT row_id, cell FROM (
+              SELECT c.row_id, t.row_id AS cell, row_number() OVER (PARTITION BY c.row_id
+                ORDER BY round(list_inner_product(c.v, t.v), 6) DESC, t.row_id) AS place
+              FROM corpus AS c, corpus AS t WHERE t.row_id % 8 = 0) WHERE place = 1)
+            SELECT count(*) AS rows, true AS agreed, count(*) AS same_whole, sum(cell)::BIGINT AS cells FROM flat""",
         "external_overlap": f"""WITH {RETRIEVAL}, {LISTS}
             SELECT query_id, patent_id, top_patents, found_itself, external_patents,
               coalesce(len(list_intersect(string_split(top_patents, ' | '), numbers)), 0)::INTEGER AS total_found
             FROM checked LEFT JOIN lists USING (query_id)""",
     }
+    out["external_overlap_cells"] = out["external_overlap"]
+    out["search_text_cells"] = out["search_text"]
     return out

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +38,17 @@ def _score(name: str = "score"):
 
 
 def _unrolled(df: DataFrame, key: str, vector: str) -> DataFrame:
-    rows = df.select(key, F.posexplode(vector).alias("dim", "value"))
+    """One row per value; a row without a vector stays, with nulls."""
+    rows = df.select(key, F.posexplode_outer(vector).alias("dim", "value"))
     return rows.select(key, "dim", vc.rounded(F.col("value").cast("double")).alias("value"))
 
 
+def _values(vector: str):
+    """All values of a vector in order, as text with six decimals."""
+    six = F.transform(vector, lambda x: F.call_function("format_number", x.cast("double"), F.lit("0.000000")))
+    return F.array_join(six, ",").alias("vector_values")
+
+
 # ---- sources and sinks ------------------------------------------------------------------------
 
 
@@ -59,6 +69,18 @@ def page_deep(spark, root):
     return numbering.page(rows, ["o_orderkey"], ["o_orderkey"], offset=12_000, size=500)
 
 
+@query
+def page_indexed(spark, root):
+    """Pages at three depths from one stored index; each reads the one or two ranges it lies in."""
+    rows = views.table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    index = numbering.write_page_index(rows, ["o_custkey", "o_orderkey"], ["o_orderkey"], shared_path(spark, "page-index"))
+    pages = [
+        numbering.read_page(spark, index, offset, 50).withColumn("page", F.lit(page))
+        for page, offset in enumerate((0, index.rows // 2, index.rows - 20))
+    ]
+    return audit.union_batches(*pages)
+
+
 @query
 def assign_batches(spark, root):
     rows = views.table(spark, root, "documents").select("doc_id", "source")
@@ -92,10 +114,80 @@ def write_batches(spark, root):
 def append_vectors(spark, root):
     path = shared_path(spark, "vector-table")
     tables.append_vectors(zip_batches(spark, root), path, views.DIM)
-    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
-    return spark.read.parquet(path).select(
-        "patent_id", "cleaned_claim", vc.rounded(total).alias("total")
-    )
+    return spark.read.parquet(path).select("patent_id", "cleaned_claim", _values("embedding"))
+
+
+@query
+def vector_table(spark, root):
+    """The named (id, text, vector) table: made once, appended to twice, dropped after it was read into a file."""
+    name, path = f"vectors_{uuid.uuid4().hex[:12]}", shared_path(spark, "named-vectors")
+    rows = zip_batches(spark, root)
+    for part in (rows.where("batch_id % 2 = 0"), rows.where("batch_id % 2 = 1")):
+        tables.create_vector_table(spark, name, path)
+        tables.append_vectors(part, name, views.DIM)
+    kept = views.stored(spark.table(name), "named-rows")
+    spark.sql(f"DROP TABLE {name}")
+    return kept.select("patent_id", "cleaned_claim", _values("embedding"))
+
+
+def _imported(spark, root):
+    """Text and vector batches written as files of the older layout and read back, vectors in slices of 4 KB."""
+    path = shared_path(spark, "batch-files")
+    batch_files.write_batch_files(views.metadata_batches(spark, root), views.vector_batches(spark, root), path)
+    return batch_files.read_metadata_batches(spark, path), batch_files.read_vector_batches(spark, path, slice_bytes=4096)
+
+
+@query
+def import_vector_files(spark, root):
+    return _imported(spark, root)[1].select("batch_id", "pos", _values("embedding"))
+
+
+@query
+def import_batch_files(spark, root):
+    """Pair, check and zip the imported files."""
+    meta, vectors = _imported(spark, root)
+    return audit.zip_rows(meta, vectors).select("batch_id", "pos", "patent_id", "cleaned_claim", _values("embedding"))
+
+
+@query
+def load_batches(spark, root):
+    """What became of each batch of a load; the vectors of batch 3 have a wrong dimension."""
+    path = shared_path(spark, "loaded")
+    meta, vectors = _batches_with_a_bad_one(spark, root)
+    return audit.load_batches(meta, vectors, lambda rows: tables.append_vectors(rows, path, views.DIM), group=4)
+
+
+def _batches_with_a_bad_one(spark, root):
+    cut = F.when(F.col("batch_id") == 3, F.slice("embedding", 1, views.DIM - 1)).otherwise(F.col("embedding"))
+    return views.metadata_batches(spark, root), views.vector_batches(spark, root).withColumn("embedding", cut)
+
+
+@query
+def load_audit_real(spark, root):
+    """Three loads into one table: whole batches only; with skipped and failing ones; with rows of another writer."""
+    path = shared_path(spark, "loaded")
+    meta, vectors = _batches_with_a_bad_one(spark, root)
+    empty = spark.createDataFrame([], "patent_id string, cleaned_claim string, embedding array<float>")
+    empty.write.parquet(path)
+
+    def rows_now() -> int:
+        return audit.row_count(spark.read.schema(empty.schema).parquet(path)).first()[0]
+
+    def load(some, stranger=None):
+        before = rows_now()
+        manifest = audit.load_batches(
+            meta.where(some), vectors.where(some), lambda rows: tables.append_vectors(rows, path, views.DIM), group=4
+        )
+        if stranger is not None:
+            tables.append_vectors(stranger, path, views.DIM)
+        return audit.load_audit(manifest, before, rows_now())
+
+    loads = [
+        load(F.col("batch_id") < 2),
+        load(F.col("batch_id") >= 2),
+        load(F.col("batch_id") == 1, zip_batches(spark, root).where("batch_id = 0")),
+    ]
+    return audit.union_batches(*(told.withColumn("load", F.lit(i)) for i, told in enumerate(loads)))
 
 
 def zip_batches(spark, root):
@@ -109,10 +201,7 @@ def pair_batches(spark, root):
 
 @query
 def zip_rows_checked(spark, root):
-    first = vc.rounded(F.element_at("embedding", 1).cast("double"))
-    return zip_batches(spark, root).select(
-        "batch_id", "pos", "patent_id", "cleaned_claim", first.alias("first_value")
-    )
+    return zip_batches(spark, root).select("batch_id", "pos", "patent_id", "cleaned_claim", _values("embedding"))
 
 
 def _manifest(spark, root):
@@ -162,33 +251,49 @@ def union_batches(spark, root):
 
 
 @query
-def ingest_stream(spark, root):
-    """The incremental job over the documents file; one run, one micro-batch."""
-    target, checkpoint = shared_path(spark, "ingested"), shared_path(spark, "ingest-state")
+def ingest_runs(spark, root):
+    """The incremental job over three files and three runs: one stops in its second micro-batch, one repeats
+    that batch and goes on, one takes the file that came later. Every row once."""
+    source, target, checkpoint = (shared_path(spark, name) for name in ("arrivals", "ingested", "ingest-state"))
+    docs = views.table(spark, root, "documents")
 
-    ingest_incremental(
-        spark,
-        root,
-        target,
-        checkpoint,
-        views.table(spark, root, "documents").schema,
-        views.encode,
-        prepare=views.as_claims,
-        pattern="documents.parquet",
-        spread_by="row_id",
-    )
-    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
-    return spark.read.parquet(target).select(
-        "row_id",
-        "patent_id",
-        "claim_text",
-        "cleaned_claim",
-        "batch_id",
-        vc.rounded(total).alias("total"),
-    )
+    def arrive(part: int) -> None:
+        docs.where(F.col("doc_id") % 3 == part).coalesce(1).write.mode("append").parquet(source)
+
+    def run(encoder) -> None:
+        ingest_incremental(
+            spark,
+            source,
+            target,
+            checkpoint,
+            docs.schema,
+            encoder,
+            prepare=views.as_claims,
+            files_per_trigger=1,
+            spread_by="row_id",
+        )
+
+    batches = []
+
+    def fails_second(claims, text):
+        batches.append(text)
+        if len(batches) == 2:
+            raise RuntimeError("the encoder is gone")
+        return views.encode(claims, text)
 
+    arrive(0)
+    arrive(1)
+    try:
+        run(fails_second)
+    except StreamingQueryException:
+        run(views.encode)
+    arrive(2)
+    run(views.encode)
+    done = spark.read.parquet(target)
+    return done.select("row_id", "patent_id", "claim_text", "cleaned_claim", _values("embedding"))
 
-REGISTER["ingest_incremental"] = REGISTER.pop("ingest_stream")
+
+REGISTER["ingest_incremental"] = REGISTER.pop("ingest_runs")
 
 
 # ---- projections and predicates ---------------------------------------------------------------
@@ -293,8 +398,7 @@ def fmt4(spark, root):
 def parse_vector(spark, root):
     text = vc.format_vector(F.col("embedding"))
     back = views.corpus(spark, root).select("row_id", vc.parse_vector(text).alias("v"))
-    total = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double"))
-    return back.select("row_id", F.size("v").alias("dim"), vc.rounded(total).alias("total"))
+    return back.select("row_id", F.size("v").alias("dim"), _values("v"))
 
 
 @query
@@ -311,6 +415,15 @@ def drop_nulls(spark, root):
 # ---- joins and sets ---------------------------------------------------------------------------
 
 
+@query
+def values_table(spark, root):
+    """A literal list of ids, as a check table is, met with the claims."""
+    ids = [("1000000", "first"), ("1000007", "kept"), ("1000049", "kept"), ("42", "unknown"), (None, "none")]
+    listed = tables.values_table(spark, ids, "patent_id string, note string")
+    claims = views.claims(spark, root).select("row_id", "patent_id")
+    return joins.left_join_1n(listed, claims, "patent_id").select("patent_id", "note", "row_id")
+
+
 @query
 def left_join_1n(spark, root):
     listed, claims = views.listed_patents(spark, root), views.claim_table(spark, root)
@@ -394,14 +507,10 @@ def first_occurrence(spark, root):
 
 @query
 def overlap_count(spark, root):
-    known = (
-        views.corpus(spark, root)
-        .groupBy(F.col("label").cast("bigint").alias("query_id"))
-        .agg(F.collect_set("patent_id").alias("ids"))
-    )
-    joined = joins.attach_external(known, evaluate.external_lists(views.external(spark, root)))
-    listed = tx.unpack_list(F.col("external_patents"))
-    return joined.select("query_id", tx.overlap_size(F.col("ids"), listed).alias("overlap"))
+    known = views.corpus(spark, root).select(F.col("label").cast("bigint").alias("query_id"), F.col("patent_id").alias("number"))
+    listed = views.external(spark, root).withColumn("number", tx.publication_digits(F.col("publication_number")))
+    first = evaluate.first_n_unique(listed, "query_id", "number", "pos")
+    return joins.overlap_counts(known, first, "query_id", "number")
 
 
 # ---- search -----------------------------------------------------------------------------------
@@ -501,6 +610,18 @@ def search_text(spark, root):
     return found.withColumn("score", vc.rounded(F.col("score")))
 
 
+@query
+def stamped_result(spark, root):
+    """A search result written under the time of the run, and read back."""
+    asked = views.queries(spark, root).where("query_id % 10 = 0")
+    hits = search.topk_inner(asked, views.corpus(spark, root), 5, carry=("patent_id",))
+    shown = hits.select("query_id", "rank", "row_id", "patent_id", _score())
+    path = searches.write_stamped(shown, shared_path(spark, "results"))
+    assert re.search(r"/query_results_\d{8}_\d{6}\.csv$", path)
+    back = tables.read_metadata_csv(spark, path, shown.columns)
+    return back.select(*(F.col(name).cast(kind).alias(name) for name, kind in shown.dtypes))
+
+
 # ---- cells ------------------------------------------------------------------------------------
 
 
@@ -531,6 +652,88 @@ def search_trained_cells_all_l2(spark, root):
     return _trained_search(spark, root, vc.L2, 5)
 
 
+def _text_index(spark, root):
+    """Claims encoded and stored, and all cells of an index trained on the first of them."""
+    claims = views.stored(views.encoded_claims(spark, root), "claims")
+    path = shared_path(spark, "claim-cells")
+    return claims, cells.build_index(claims, claims.where("row_id < 400"), path, nlist=6, nprobe=6, iterations=8)
+
+
+@query
+def search_text_cells(spark, root):
+    """Text queries over stored cells, all probed: equal to the exact search."""
+    asked = views.table(spark, root, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query")
+    )
+    claims, index = _text_index(spark, root)
+    found = searches.search_text(asked, claims, views.encode, index=index)
+    return found.withColumn("score", vc.rounded(F.col("score")))
+
+
+@query
+def self_retrieval_cells(spark, root):
+    """From claim text to the found-itself flag over stored cells, all probed: equal to the exact check."""
+    claims, index = _text_index(spark, root)
+    check = views.stored(views.check_table(spark, root), "check")
+    return evaluate.self_retrieval(check, claims, index=index)
+
+
+@query
+def external_overlap_cells(spark, root):
+    claims, index = _text_index(spark, root)
+    check = views.stored(views.check_table(spark, root), "check")
+    log = evaluate.similarity_log(check, claims, index=index)
+    return evaluate.external_overlap(log, views.external(spark, root)).drop("claim", "similarities")
+
+
+@query
+def search_cells_recall(spark, root):
+    """Share of the exact 10 best rows that 1, 3 and all 10 cells give; over all vectors as queries."""
+    asked, corpus = views.queries(spark, root), views.corpus(spark, root)
+    stored, centroids = _stored_cells(spark, root), views.label_centroids(spark, root)
+    exact = views.stored(search.topk_inner(asked, corpus, 10).select("query_id", "row_id"), "exact")
+    parts = []
+    for nprobe in (1, 3, 10):
+        near = cells.search_cells(asked, stored, centroids, 10, nprobe).select("query_id", "row_id", F.lit(1).alias("hit"))
+        both = exact.join(near, ["query_id", "row_id"], "left")
+        parts.append(both.agg(F.lit(nprobe).alias("nprobe"), F.count("*").alias("wanted"), F.count("hit").alias("found")))
+    recall = F.round(F.col("found") / F.col("wanted"), 6).alias("recall")
+    return audit.union_batches(*parts).select("nprobe", "wanted", "found", recall)
+
+
+@query
+def search_cells_until(spark, root):
+    """Eight different labels per query: one cell first, more while a query is short of labels."""
+    hits = cells.search_cells_until(
+        views.queries(spark, root), _mixed_cells(spark, root), views.label_centroids(spark, root), "label", 8
+    )
+    return hits.select("query_id", "rank", "row_id", "label", _score(), "probed")
+
+
+def _mixed_cells(spark, root):
+    path = shared_path(spark, "cells")
+    cells.write_cells(cells.assign_cells(views.corpus(spark, root), views.label_centroids(spark, root)), path)
+    return spark.read.parquet(path)
+
+
+@query
+def assign_cells_tree(spark, root):
+    """Cells of cells against the flat assignment: every eighth vector is a cell."""
+    rows = views.corpus(spark, root)
+    centroids = rows.where("row_id % 8 = 0").select(F.col("row_id").cast("int").alias("cell"), F.col("embedding").alias("centroid"))
+    tree = cells.cell_tree(centroids, rows)
+    flat = cells.assign_cells(rows, centroids).select("row_id", F.col("cell").alias("flat"))
+    quick = cells.assign_cells_by_tree(rows, tree).select("row_id", F.col("cell").alias("quick"))
+    whole = cells.assign_cells_by_tree(rows, tree, looks=len(tree.coarse)).select("row_id", F.col("cell").alias("whole"))
+    both = flat.join(quick, "row_id").join(whole, "row_id")
+    return both.agg(
+        F.count("*").alias("rows"),
+        (F.avg((F.col("flat") == F.col("quick")).cast("int")) >= 0.99).alias("agreed"),
+        F.count_if(F.col("flat") == F.col("whole")).alias("same_whole"),
+        F.sum("flat").alias("cells"),
+    )
+
+
 @query
 def cell_centroids(spark, root):
     rows = views.label_centroids(spark, root)
@@ -599,9 +802,10 @@ def hash_encode(spark, root):
 def _plugged(spark, root, **options):
     rows = views.cleaned_claims(spark, root).select("row_id", "cleaned_claim")
     factory = encode.WordHashEncoder(views.DIM)
-    coded = encode.encode_text(rows, "cleaned_claim", factory, **options)
-    found = coded.where(F.exists("embedding", lambda x: x != 0))
-    return _unrolled(found, "row_id", "embedding")
+    coded = encode.encode_text(rows, "cleaned_claim", factory, pieces=8, **options)
+    # A text without words has the zero vector, which has no direction.
+    found = F.when(F.exists("embedding", lambda x: x != 0), F.col("embedding"))
+    return _unrolled(coded.withColumn("embedding", found), "row_id", "embedding")
 
 
 @query

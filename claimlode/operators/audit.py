@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from claimlode.session import stored
+
+# Batches written together, each counted on its own while they are.
+LOAD_GROUP = 32
 # The three verdicts of a load.
 VERDICT_DELTA = "WARNING"
 VERDICT_SKIPPED = "NOTE"
@@ -93,3 +99,51 @@ def load_audit(manifest: DataFrame, before: int | DataFrame, after: int | DataFr
     return totals.withColumn("delta", F.col("after") - F.col("before")).withColumn(
         "verdict", verdict
     )
+
+
+def load_batches(
+    meta: DataFrame,
+    vectors: DataFrame,
+    write: Callable[[DataFrame], None],
+    batch: str = "batch_id",
+    position: str = "pos",
+    group: int = LOAD_GROUP,
+) -> DataFrame:
+    """Load paired batches and return what became of each: (batch, status, manifest_rows, written_rows).
+
+    Batches with one side missing or of unequal length are skipped. The others are handed to ``write`` in groups of
+    ``group``, and the rows of each batch are counted as they are written (an observation, no second pass). If a
+    group fails, its batches are tried one by one, and those that still fail get the status ``failed``: ``write``
+    must write the table it is given, once, and put either all of its rows or none, as Spark's own sinks do. Batch numbers and their
+    row counts reach the driver, nothing else.
+    """
+    manifest = stored(pair_batches(meta, vectors, batch), "load-manifest")
+    rows = zip_rows(meta, vectors, batch, position)
+    good = [row[batch] for row in manifest.where("status = 'ok'").select(batch).orderBy(batch).collect()]
+
+    def put(numbers: list) -> dict:
+        seen = Observation()
+        counts = [F.count_if(F.col(batch) == number).alias(f"n{i}") for i, number in enumerate(numbers)]
+        write(rows.where(F.col(batch).isin(numbers)).observe(seen, *counts))
+        return {number: seen.get[f"n{i}"] for i, number in enumerate(numbers)}
+
+    written: dict = {}
+    for start in range(0, len(good), group):
+        some = good[start : start + group]
+        try:
+            written |= put(some)
+        except PySparkException:
+            for number in some:
+                try:
+                    written |= put([number])
+                except PySparkException:
+                    written[number] = None
+    told = [(number, "ok" if rows is not None else "failed", rows or 0) for number, rows in written.items()]
+    kind = manifest.schema[batch].dataType.simpleString()
+    results = meta.sparkSession.createDataFrame(told, f"{batch} {kind}, outcome string, loaded bigint")
+    return manifest.join(results, batch, "left").select(
+        batch,
+        F.coalesce("outcome", "status").alias("status"),
+        F.coalesce("meta_rows", F.lit(0)).alias("manifest_rows"),
+        F.coalesce("loaded", F.lit(0)).alias("written_rows"),
+    )

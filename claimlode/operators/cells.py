@@ -351,3 +351,24 @@ def search_cells_until(
     probed = probed.groupBy(query_id).agg(F.max("probed").alias("probed"))
     best = _merge(hits, query_id, row_id, carry, k, group)
     return best.join(probed, query_id).select(*best.columns, "probed")
+
+
+@dataclass
+class CellIndex:
+    """A corpus laid out by cell with its centroids, and how many cells a query reads at first."""
+
+    cells: DataFrame
+    centroids: DataFrame
+    nprobe: int = 1
+
+
+def build_index(
+    corpus: DataFrame, sample: DataFrame, path: str, nlist: int = 1000, nprobe: int = 1, metric: str = INNER, **training
+) -> CellIndex:
+    """Train centroids on ``sample``, lay the corpus out by cell below ``path``, open the result.
+
+    Rows without a vector have no cell and are not in the index.
+    """
+    centroids = stored(train_cells(sample, nlist, metric, **training), "centroids")
+    write_cells(assign_cells(corpus, centroids, metric), path)
+    return CellIndex(corpus.sparkSession.read.parquet(path), centroids, nprobe)

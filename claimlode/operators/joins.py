@@ -223,6 +223,18 @@ def attach_external(check: DataFrame, external: DataFrame, on: str = "query_id")
     return check.join(external, on, "left")
 
 
+def overlap_counts(left: DataFrame, right: DataFrame, group: str, item: str) -> DataFrame:
+    """(group, overlap): how many different items of a group's left rows are among its right rows; 0 for none.
+
+    Items meet by (group, item), so neither a group's list nor its rows are gathered.
+    """
+    mine = left.where(F.col(group).isNotNull()).select(group, item).distinct()
+    shared = mine.where(F.col(item).isNotNull()).join(right.select(group, item).distinct(), [group, item], "left_semi")
+    found = shared.select(group, F.lit(1).alias("_one"))
+    none = mine.select(group).distinct().select(group, F.lit(0).alias("_one"))
+    return found.unionByName(none).groupBy(group).agg(F.sum("_one").cast("int").alias("overlap"))
+
+
 def drop_nulls(df: DataFrame, *columns: str) -> DataFrame:
     return df.dropna(subset=list(columns))
 

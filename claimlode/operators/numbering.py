@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlode.session import pinned
 
@@ -90,6 +93,63 @@ def page(
     return number_rows(df, order_by, key).where(inside).drop("position")
 
 
+@dataclass
+class PageIndex:
+    """A stored table in range order, one folder per range, and the position at which each range starts."""
+
+    path: str
+    order_by: tuple[str, ...]
+    schema: T.StructType
+    starts: list[int]
+    rows: int
+
+    def parts_of(self, offset: int, size: int) -> list[int]:
+        """The ranges that hold rows ``offset .. offset + size - 1``."""
+        if size <= 0 or offset + size <= 0 or offset >= self.rows:
+            return []
+        first = bisect_right(self.starts, max(offset, 0)) - 1
+        last = bisect_right(self.starts, min(offset + size, self.rows) - 1) - 1
+        return [part for part in range(first, last + 1)]
+
+
+def write_page_index(
+    df: DataFrame, order_by: Sequence[str], key: Sequence[str], path: str, partitions: int | None = None
+) -> PageIndex:
+    """Store ``df`` in the order of ``order_by``, cut into ranges, with the number of rows of each.
+
+    The sort is paid once; a page then reads the one or two ranges it lies in. ``order_by`` must end in a
+    unique tiebreak, ``key`` names the unique columns of a row; a repeated key is an error. One number per range
+    reaches the driver.
+    """
+    spark = df.sparkSession
+    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(count, *order_by).sortWithinPartitions(*order_by)
+    ranged.withColumn("_part", F.spark_partition_id()).write.mode("overwrite").partitionBy("_part").parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.IntegerType())])
+    stored = spark.read.schema(schema).parquet(path)
+    repeated = stored.groupBy(*key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"key {list(key)} is not unique: {repeated[0]}")
+    sizes = {row["_part"]: row["count"] for row in stored.groupBy("_part").count().collect()}
+    starts, total = [], 0
+    for part in range(max(sizes, default=-1) + 1):
+        starts.append(total)
+        total += sizes.get(part, 0)
+    return PageIndex(path, tuple(order_by), schema, starts, total)
+
+
+def read_page(spark: SparkSession, index: PageIndex, offset: int, size: int) -> DataFrame:
+    """Rows ``offset .. offset + size - 1`` of an indexed table, at any depth, read from the ranges that hold them."""
+    parts = index.parts_of(offset, size)
+    stored = spark.read.schema(index.schema).parquet(index.path)
+    rows = stored.where(F.col("_part").isin(parts))
+    begin = F.get(F.lit(index.starts).cast("array<bigint>"), F.col("_part"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*index.order_by)) - 1
+    numbered = rows.withColumn("_position", begin + place)
+    inside = (F.col("_position") >= offset) & (F.col("_position") < offset + size)
+    return numbered.where(inside).drop("_part", "_position")
+
+
 def split_work(df: DataFrame, pieces: int) -> DataFrame:
     """Spread rows evenly over ``pieces`` partitions, e.g. before an expensive encoder."""
     return df.repartition(pieces)

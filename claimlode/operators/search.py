@@ -95,8 +95,12 @@ def packed(rows: DataFrame, vector: str, size: int) -> DataFrame:
 
 
 def require_unique(queries: DataFrame, query_id: str) -> None:
-    """Two vectors under one id would share its k hits. Only two numbers reach the driver."""
+    """Two vectors under one id would share its k hits. Only a number reaches the driver."""
     most = queries.groupBy(query_id).count().agg(F.max("count")).first()[0]
+    refuse_repeats(most, query_id)
+
+
+def refuse_repeats(most: int | None, query_id: str) -> None:
     if (most or 0) > 1:
         raise ValueError(f"{query_id} is not unique among the queries")
 
@@ -115,9 +119,12 @@ def query_table(
     )
     blocks = packed(usable.repartition("_ids"), "_values", block_queries)
     blocks = stored(blocks.withColumn("_block", F.monotonically_increasing_id()), "query-blocks")
-    require_unique(blocks.select(F.explode("_ids").alias(query_id)), query_id)
-    values = blocks.agg(F.sum(F.size("_values").cast("bigint"))).first()[0]
-    return blocks.coalesce(max(1, -(-(values or 0) // SCAN_VALUES)))
+    each = blocks.select(F.posexplode("_ids").alias("_at", "_id"), F.size("_values").cast("bigint").alias("_size"))
+    counted = each.groupBy("_id").agg(F.count("*").alias("_n"), F.sum(F.when(F.col("_at") == 0, F.col("_size"))).alias("_size"))
+    most, values = counted.agg(F.max("_n"), F.sum("_size")).first()
+    refuse_repeats(most, query_id)
+    scans = -(-(values or 0) // SCAN_VALUES)
+    return blocks.coalesce(1) if scans <= 1 else blocks.repartition(scans, "_block")
 
 
 class _Best:

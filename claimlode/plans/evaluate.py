@@ -19,8 +19,10 @@ from claimlode.functions.text import (
     unpack_list,
 )
 from claimlode.functions.vectors import COSINE, INNER
+from claimlode.operators.cells import CellIndex, search_cells_until
 from claimlode.operators.joins import attach_external, id_difference, keep_in_list, left_join_1n
 from claimlode.operators.search import first_occurrence, pick_query, rank_all, rerank, topk_distinct
+from claimlode.session import stored
 
 Encode = Callable[[DataFrame, str], DataFrame]
 
@@ -43,14 +45,21 @@ def similarity_log(
     *,
     query_id: str = "query_id",
     claim: str = "claim",
+    index: CellIndex | None = None,
 ) -> DataFrame:
     """Check rows with packed top patents, packed 4-decimal scores and the found-itself flag.
 
     ``check`` has query id, claim, patent_id and embedding. Blank claims stay, with empty lists
-    and 'N'.
+    and 'N'. With an ``index`` of the same corpus a query reads its nearest cells, and further ones while it
+    has fewer than k patents.
     """
     asked = check.where(~is_blank(F.col(claim))).select(query_id, "embedding")
-    hits = topk_distinct(asked, corpus, "patent_id", k, overfetch, metric, query_id=query_id)
+    if index is None:
+        hits = topk_distinct(asked, corpus, "patent_id", k, overfetch, metric, query_id=query_id)
+    else:
+        hits = search_cells_until(
+            asked, index.cells, index.centroids, "patent_id", k, index.nprobe, metric, query_id=query_id
+        )
     named = hits.withColumn("patent_id", id_string(F.col("patent_id")))
     packed = collect_ranked(named.select(query_id, "rank", "patent_id", "score"), query_id)
     lists = packed.select(
@@ -135,12 +144,13 @@ def one_vs_list_direct(
     """Listed, non-blank claims with their cosine to the list's first claim, best first.
 
     ``ids`` has pos and patent_id; the first claim is that of lowest pos, then lowest row id.
-    Only the listed claims are encoded.
+    Only the listed claims are encoded, each once: their table is stored.
     """
     claims = list_with_claims(ids, corpus).where(~is_blank(F.col(claim)))
+    coded = stored(encode(claims, claim), "listed-claims")
     place = F.struct("pos", "row_id").alias("_place")
-    first = encode(pick_query(claims.select(place, claim), "_place", claim), claim)
-    scored = rank_all(first, encode(claims, claim), COSINE, name="similarity_to_first")
+    first = pick_query(coded.select(place, claim, "embedding"), "_place", claim)
+    scored = rank_all(first, coded, COSINE, name="similarity_to_first")
     kept = scored.drop("embedding")
     return kept.orderBy(F.desc("similarity_to_first"), "pos", "row_id") if sort else kept
 

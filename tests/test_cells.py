@@ -143,3 +143,67 @@ def test_training_leaves_out_vectors_without_direction(spark, data):
     found = cells.train_cells(more, nlist=6)
     assert found.count() == 6
     assert all(np.isfinite(r.centroid).all() for r in found.collect())
+
+
+def test_hot_cells_are_cut_on_both_sides(data, trained, monkeypatch):
+    queries, corpus = data
+    assigned = cells.assign_cells(corpus, trained)
+    whole = rows(cells.search_cells(queries, assigned, trained, 4, nprobe=2))
+    monkeypatch.setattr(cells, "CELL_ROWS", 20)
+    assert rows(cells.search_cells(queries, assigned, trained, 4, nprobe=2, block_queries=30)) == whole
+
+
+def test_repeated_query_id_is_an_error(data, trained):
+    queries, corpus = data
+    with pytest.raises(ValueError, match="not unique"):
+        cells.search_cells(queries.union(queries.limit(1)), corpus.withColumn("cell", F.lit(0)), trained, 2)
+
+
+def test_further_cells_until_enough_groups(data, trained):
+    queries, corpus = data
+    assigned = cells.assign_cells(corpus, trained).withColumn("family", F.col("cell") * 2 + F.col("row_id") % 2)
+    some = queries.where("query_id % 20 = 0")
+    for k in (1, 2, 5, 11):
+        got = cells.search_cells_until(some, assigned, trained, "family", k)
+        counts = got.groupBy("query_id").agg(F.count("*").alias("n"), F.count_distinct("family").alias("d"), F.max("probed").alias("p"))
+        told = counts.collect()
+        assert len(told) == 15 and all(r.n == r.d == k for r in told)
+        # each cell holds two families, and the cells read double
+        assert max(r.p for r in told) <= {1: 1, 2: 2, 5: 4, 11: 6}[k]
+    short = cells.search_cells_until(some, assigned, trained, "family", 40)
+    families = assigned.select("family").distinct().count()
+    assert short.count() == 15 * families and short.where("probed <> 6").isEmpty()
+
+
+def test_all_cells_at_first_is_the_exact_distinct_search(data, trained):
+    queries, corpus = data
+    assigned = cells.assign_cells(corpus, trained)
+    got = cells.search_cells_until(queries, assigned, trained, "patent_id", 7, nprobe=6)
+    assert rows(got) == rows(search.topk_distinct(queries, corpus, "patent_id", 7))
+
+
+@pytest.mark.parametrize("metric", ["inner", "l2"])
+def test_tree_agrees_with_the_flat_assignment(spark, metric):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 12))
+    points = centres[rng.integers(0, 30, 3000)] + 0.25 * rng.normal(size=(3000, 12))
+    corpus = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(points)], "row_id long, embedding array<float>")
+    centroids = cells.train_cells(corpus, nlist=144, metric=metric, iterations=5)
+    tree = cells.cell_tree(centroids, corpus, metric)
+    flat = cells.assign_cells(corpus, centroids, metric).select("row_id", F.col("cell").alias("flat"))
+    quick = cells.assign_cells_by_tree(corpus, tree, metric).join(flat, "row_id")
+    told = quick.agg(F.avg((F.col("cell") == F.col("flat")).cast("int")).alias("same"), F.avg("compared").alias("compared")).first()
+    assert told.same >= 0.99
+    assert len(tree.coarse) == 12 and told.compared < 0.75 * 144
+    whole = cells.assign_cells_by_tree(corpus, tree, metric, looks=12).join(flat, "row_id")
+    assert whole.where("cell <> flat").isEmpty()
+    print(f"{metric}: {tree.looks} of 12 coarse cells, {told.compared:.0f} of 144 comparisons, agreement {told.same:.4f}")
+
+
+def test_tree_leaves_out_null_vectors_and_marks_odd_ones(spark, data, trained):
+    tree = cells.cell_tree(trained, data[1])
+    odd = spark.createDataFrame([(1, None), (2, [float("nan")] * DIM), (3, [1.0] * DIM)], "row_id long, embedding array<float>")
+    got = {r.row_id: r.cell for r in cells.assign_cells_by_tree(odd, tree).collect()}
+    assert set(got) == {2, 3} and got[2] is None and got[3] is not None
+    with pytest.raises(ValueError, match="no centroids"):
+        cells.cell_tree(trained.where("false"), data[1])

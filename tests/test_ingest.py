@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from claimlode.catalog import views
@@ -33,3 +35,27 @@ def test_each_file_is_taken_once(spark, tmp_path):
     again = run()
     assert sorted(r.row_id for r in again.collect()) == [0, 1, 2, 3]
     assert again.where(F.col("row_id") == 3).first().batch_id == 9
+
+
+def test_a_failed_micro_batch_is_replayed(spark, tmp_path):
+    source, target, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    calls = []
+
+    def fails_second(claims, text):
+        calls.append(text)
+        if len(calls) == 2:
+            raise RuntimeError("the encoder is gone")
+        return views.encode(claims, text)
+
+    def run(encoder):
+        ingest_incremental(spark, source, target, state, SCHEMA, encoder, files_per_trigger=1)
+
+    add_file(spark, source, [(0, "p0", "A first claim")])
+    add_file(spark, source, [(1, "p1", "A second claim")])
+    with pytest.raises(StreamingQueryException, match="the encoder is gone"):
+        run(fails_second)
+    assert len(calls) == 2 and spark.read.parquet(target).count() == 1
+    add_file(spark, source, [(2, "p2", "A third claim")])
+    run(views.encode)
+    rows = spark.read.parquet(target).collect()
+    assert sorted(r.row_id for r in rows) == [0, 1, 2] and len({r.batch_id for r in rows}) == 3

@@ -99,3 +99,31 @@ def test_drop_nulls_and_distinct_count(claims):
     assert exact == claims.select("patent_id").dropna().distinct().count() == rough
     assert joins.attach_external(claims.select(F.col("row_id").alias("query_id")), claims.select(
         F.col("row_id").alias("query_id"), "claim_text").where("row_id < 5")).count() == 93
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 40, 7])
+def test_a_text_copied_on_both_sides_is_cut_into_a_grid(spark, limit):
+    left = spark.createDataFrame([("hot" if i < 100 else f"k{i}", i) for i in range(120)] + [(None, 1)], "key string, a int")
+    right = spark.createDataFrame([("hot" if i < 90 else f"k{i + 15}", i) for i in range(110)] + [(None, 2)], "key string, b int")
+    got = joins.grid_join(left, right, "key", limit, limit)
+    want = sorted(map(tuple, left.join(right, "key").collect()))
+    assert sorted(map(tuple, got.collect())) == want
+    a, b = joins.grid_cut(left, right, "key", limit, limit)
+    parts = a.where("key = 'hot'").select("_left_part", "_right_part").distinct().count()
+    assert parts == (1 if limit > 100 else -(-100 // limit) * -(-90 // limit))
+    most = a.where("key = 'hot'").groupBy("_left_part", "_right_part").count().agg({"count": "max"}).first()[0]
+    assert most <= 100 if limit > 100 else most < 100
+
+
+def test_pairs_of_equal_texts_do_not_depend_on_the_cut(spark):
+    rows = [(f"p{i}", " same text " if i % 2 else f"text {i % 7}") for i in range(60)]
+    a, b = (spark.createDataFrame(part, "patent_id string, claim string") for part in (rows[:35], rows[20:]))
+    whole = joins.exact_text_match(a, b, "patent_id", "claim")
+    cut = joins.exact_text_match(a, b, "patent_id", "claim", hot_rows=4)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_overlap_counts_different_items(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (3, None), (None, "a")], "g int, item string")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (1, "z"), (2, "a"), (3, None)], "g int, item string")
+    assert sorted(map(tuple, joins.overlap_counts(left, right, "g", "item").collect())) == [(1, 2), (2, 0), (3, 0)]

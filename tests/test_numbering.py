@@ -61,3 +61,31 @@ def test_split_work(claims):
     assert numbering.split_work(claims, 12).rdd.getNumPartitions() == 12
     assert numbering.split_narrow(claims.coalesce(1), "claim_no", 5).rdd.getNumPartitions() == 5
     assert numbering.split_narrow(claims.repartition(9), "claim_no", 5).rdd.getNumPartitions() == 9
+
+
+def test_a_page_reads_the_ranges_it_lies_in(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "id % 10 AS bucket", "concat('t', id) AS text")
+    index = numbering.write_page_index(rows, ["bucket", "id"], ["id"], str(tmp_path / "index"), partitions=8)
+    want = sorted(((r.bucket, r.id, r.text) for r in rows.collect()))
+    assert index.rows == 1000 and len(index.starts) >= 4
+    for offset, size in ((0, 10), (495, 20), (990, 50), (0, 1000), (250, 1)):
+        got = numbering.read_page(spark, index, offset, size)
+        assert sorted((r.bucket, r.id, r.text) for r in got.collect()) == want[offset : offset + size]
+        files = {f for f in got.inputFiles()}
+        if size <= 50:
+            assert len(index.parts_of(offset, size)) <= 2
+            metrics = spark.read.schema(index.schema).parquet(index.path).where(
+                f"_part in ({','.join(map(str, index.parts_of(offset, size)))})"
+            )
+            assert metrics.select("_metadata.file_path").distinct().count() <= 2 and files
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters" in plan and "_part" in plan.split("PartitionFilters")[1][:40]
+    assert numbering.read_page(spark, index, 1000, 5).isEmpty() and numbering.read_page(spark, index, -5, 5).isEmpty()
+
+
+def test_page_index_of_nothing_and_of_repeated_keys(spark, tmp_path):
+    rows = spark.range(5).selectExpr("id", "1 AS bucket")
+    empty = numbering.write_page_index(rows.where("id > 9"), ["bucket", "id"], ["id"], str(tmp_path / "empty"))
+    assert empty.rows == 0 and numbering.read_page(spark, empty, 0, 5).isEmpty()
+    with pytest.raises(ValueError, match="not unique"):
+        numbering.write_page_index(rows.union(rows), ["bucket", "id"], ["id"], str(tmp_path / "twice"))

@@ -187,3 +187,62 @@ def test_zero_vectors_stay_out_of_inner_searches(spark, data):
     found = search.topk_inner(queries, corpus.unionByName(odd), 300)
     assert found.where("row_id >= 900").count() == 0
     assert search.topk_l2(queries, corpus.unionByName(odd), 300).where("row_id = 900").count() == 30
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_no_query_vector_reaches_the_driver(data, monkeypatch, distinct):
+    queries, corpus, asked, points, groups = data
+    frame = type(queries)
+    seen = []
+
+    def watched(name):
+        real = getattr(frame, name)
+
+        def call(self, *args, **options):
+            seen.append([field.dataType.simpleString() for field in self.schema])
+            return real(self, *args, **options)
+
+        return call
+
+    for name in ("collect", "toArrow", "toPandas", "first", "head", "take", "toLocalIterator"):
+        monkeypatch.setattr(frame, name, watched(name))
+    got = search.topk(queries, corpus, 4, block_queries=7, distinct="patent_id" if distinct else None, carry=("patent_id",))
+    plan = got._jdf.queryExecution().toString()
+    monkeypatch.undo()
+    assert seen and not [kinds for kinds in seen if any("array" in kind for kind in kinds)]
+    assert "CartesianProduct" in plan and "BroadcastExchange" not in plan
+    assert plan.split("== Physical Plan ==")[1].count("embedding") and found(got) == brute(asked, points, 4, "inner", groups if distinct else None)
+
+
+def test_queries_beyond_one_scan_are_answered_in_several(data, monkeypatch):
+    queries, corpus, asked, points, _ = data
+    monkeypatch.setattr(search, "SCAN_VALUES", 40)
+    monkeypatch.setattr(search, "CHUNK_ROWS", 16)
+    blocks = search.query_table(queries, "query_id", "embedding", 3)
+    assert blocks.rdd.getNumPartitions() > 1
+    assert found(search.topk(queries, corpus, 5, block_queries=3)) == brute(asked, points, 5, "inner")
+
+
+def test_the_last_ranking_sees_slices_times_k_rows(spark):
+    rows = spark.range(6000).selectExpr(
+        "id % 3 AS query_id", "id AS row_id", "concat('g', id % 900) AS patent_id", "id * 7919 % 6007 AS _key", "-double(id) AS score"
+    ).repartition(40)
+    for distinct in (None, "patent_id"):
+        merged = search._merge(rows, "query_id", "row_id", ("patent_id",), 5, distinct)
+        want = {}
+        for r in sorted(rows.collect(), key=lambda r: (r["_key"], r.row_id)):
+            best = want.setdefault(r.query_id, [])
+            if len(best) < 5 and (distinct is None or r.patent_id not in {p for _, p in best}):
+                best.append((r.row_id, r.patent_id))
+        got = {}
+        for r in merged.orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.row_id, r.patent_id))
+        assert got == want
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "[query_id" in plan and plan.count("WindowGroupLimit") >= 2
+
+
+def test_unequal_dimensions_are_an_error(spark, data):
+    odd = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "query_id long, embedding array<float>").coalesce(1)
+    with pytest.raises(Exception, match="unequal dimension"):
+        search.topk(odd, data[1], 3).collect()

@@ -123,3 +123,75 @@ def test_union_and_counts(spark):
     joined = audit.union_batches(a, b)
     assert sorted(map(tuple, joined.collect())) == [(1, "a"), (2, "b")]
     assert audit.row_count(joined).first().rows == 2
+
+
+@pytest.mark.parametrize("slice_bytes", [64 << 20, 1000, 37])
+def test_vector_files_larger_than_a_slice(spark, tmp_path, slice_bytes):
+    rng = np.random.default_rng(1)
+    folder = tmp_path / "some folder %41"
+    folder.mkdir()
+    matrices = {
+        1: rng.normal(size=(301, 5)).astype(np.float32),
+        2: rng.normal(size=(40, 5)),
+        3: np.asfortranarray(rng.normal(size=(40, 5))),
+        4: np.zeros((0, 5), np.float32),
+        7: rng.integers(0, 9, size=(3, 5)),
+    }
+    for number, matrix in matrices.items():
+        np.save(folder / f"embeddings_batch_{number}.npy", matrix)
+    rows = batch_files.read_vector_batches(spark, str(folder), slice_bytes=slice_bytes)
+    got = {}
+    for r in rows.orderBy("batch_id", "pos").collect():
+        got.setdefault(r.batch_id, []).append(r.embedding)
+        assert r.pos == len(got[r.batch_id]) - 1
+    assert set(got) == {1, 2, 3, 7}
+    for number, values in got.items():
+        assert np.array_equal(np.array(values, np.float32), matrices[number].astype(np.float32))
+    if slice_bytes == 1000:
+        spread = rows.where("batch_id = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert spread > 1
+
+
+def test_not_a_matrix_and_stores_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    np.save(tmp_path / "b_1.npy", np.zeros(4))
+    with pytest.raises(Exception, match="not a dense matrix"):
+        batch_files.read_vector_batches(spark, str(tmp_path)).collect()
+    assert not batch_files.ranged_access("viewfs://store/x") and batch_files.ranged_access("file:/tmp/a b")
+    (tmp_path / "more").mkdir()
+    path = batch_dir(tmp_path / "more")
+    monkeypatch.setattr(batch_files, "ranged_access", lambda name: False)
+    assert batch_files.read_vector_batches(spark, path, "embeddings*.npy").count() == 17
+
+
+def test_older_layout_round_trip(spark, tmp_path):
+    meta = spark.createDataFrame(
+        [(b, i, f"p{i}", [f'a "quoted", text\n{i}', "", "007"][i % 3]) for b in (0, 4) for i in range(7)],
+        "batch_id int, pos long, patent_id string, cleaned_claim string",
+    )
+    vectors = meta.selectExpr("batch_id", "pos", "array(float(pos), float(batch_id), float(0.5)) AS embedding")
+    path = str(tmp_path / "files")
+    for _ in range(2):
+        batch_files.write_batch_files(meta, vectors, path)
+    back = audit.zip_rows(batch_files.read_metadata_batches(spark, path), batch_files.read_vector_batches(spark, path))
+    want = meta.join(vectors, ["batch_id", "pos"])
+    assert sorted(map(str, back.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("group", [1, 3, 32])
+def test_a_load_counts_each_batch_while_it_writes(spark, tmp_path, group):
+    meta = spark.createDataFrame([(b, i, f"p{b}", "t") for b in range(6) for i in range(3 + b)], "batch_id int, pos long, patent_id string, cleaned_claim string")
+    sizes = {0: 3, 1: 4, 2: 5, 4: 2, 5: 8}  # 3 has no vectors, 4 too few; those of 2 have another dimension
+    vectors = spark.createDataFrame(
+        [(b, i, [0.5] * (3 if b == 2 else 2)) for b, n in sizes.items() for i in range(n)], "batch_id int, pos long, embedding array<float>"
+    )
+    path, calls = str(tmp_path / "target"), []
+
+    def write(rows):
+        calls.append(1)
+        tables.append_vectors(rows, path, 2)
+
+    got = {r.batch_id: tuple(r)[1:] for r in audit.load_batches(meta, vectors, write, group=group).collect()}
+    assert got == {0: ("ok", 3, 3), 1: ("ok", 4, 4), 2: ("failed", 5, 0), 3: ("missing", 6, 0), 4: ("mismatch", 7, 0), 5: ("ok", 8, 8)}
+    assert spark.read.parquet(path).count() == 15
+    manifest = audit.load_batches(meta.where("batch_id < 2"), vectors, write, group=group)
+    assert manifest.where("status = 'missing'").count() == 3 and spark.read.parquet(path).count() == 22
