@@ -312,14 +312,15 @@ def repeated_spans(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            data, offsets = coded(batch.column("text"))
-            for i, row in enumerate(batch.drop_columns(["text"]).to_pylist()):
-                text = data[offsets[i] : offsets[i + 1]].tobytes()
-                for mark in row["marks"]:
-                    piece = text[mark["lo"] : mark["hi"] + length]
-                    at = mark["anchor"] - mark["lo"]
-                    digest = hashlib.blake2b(piece, digest_size=16, key=at.to_bytes(4, "little")).digest()
-                    rows.append((row["doc"], row["doc_id"], mark["lo"], mark["gram"], at, digest, piece))
+            for part in slices(batch, "text", _SLICE):
+                data, offsets = coded(part.column("text"))
+                for i, row in enumerate(part.drop_columns(["text"]).to_pylist()):
+                    text = data[offsets[i] : offsets[i + 1]].tobytes()
+                    for mark in row["marks"]:
+                        piece = text[mark["lo"] : mark["hi"] + length]
+                        at = mark["anchor"] - mark["lo"]
+                        digest = hashlib.blake2b(piece, digest_size=16, key=at.to_bytes(4, "little")).digest()
+                        rows.append((row["doc"], row["doc_id"], mark["lo"], mark["gram"], at, digest, piece))
             columns = zip(*rows, strict=True) if rows else [()] * 7
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
             names = ["doc", "doc_id", "lo", "gram", "at", "digest", "fragment"]
