@@ -184,7 +184,9 @@ def merge_sorted(group: np.ndarray, less: Callable[[np.ndarray, np.ndarray], np.
 def covered_fragments(
     group: np.ndarray, texts: list[bytes], anchors: np.ndarray, length: int, bases: tuple[int, ...] = _BASES
 ) -> list[tuple[int, int, int]]:
-    """(fragment, first byte, end) of every part of a fragment that lies in another of its group too.
+    """(fragment, first byte, end) of the part of each fragment that lies in others of its group too.
+
+    All parts that a fragment shares hold its anchor, so together they are one piece of it.
 
     ``group`` numbers the fragments' k-grams, groups lie together; ``anchors`` are places in the
     fragments. Only parts of at least ``length`` bytes around the anchor are told. A fragment has
@@ -227,7 +229,7 @@ def covered_fragments(
     rank[by_prefix] = np.arange(len(group))
     same_group = group[by_suffix][1:] == group[by_suffix][:-1]
     agree = np.where(same_group, extension(by_suffix[1:], by_suffix[:-1], True), -1)
-    found = []
+    low, high = anchors.copy(), np.full(len(group), -1, np.int64)
     for r in np.unique(agree[agree > 0])[::-1]:
         together = np.concatenate(([0], np.cumsum(agree < r)))
         changed = np.zeros(len(group) + 1, bool)
@@ -244,9 +246,9 @@ def covered_fragments(
             one, two = anchors[x], anchors[y]
             if texts[x][one - left : one + r] != texts[y][two - left : two + r]:  # a hash collision
                 return covered_fragments(group, texts, anchors, length, bases[1:])
-            found.append((x, int(one - left), int(one + r)))
-            found.append((y, int(two - left), int(two + r)))
-    return found
+            for i, at in ((x, one), (y, two)):
+                low[i], high[i] = min(low[i], at - left), max(high[i], at + r)
+    return [(int(i), int(low[i]), int(high[i])) for i in np.flatnonzero(high >= 0)]
 
 
 def sort_groups(length: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
