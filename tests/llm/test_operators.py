@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -317,7 +318,7 @@ def test_page_regions():
         ("<article><div><p class=ad>Buy <span>now</div>One</article>", "One"),
         ("<article><p class=ad>Buy <b>now</i></p>One</article>", "One"),
         ("<article>One<div class=ad>x<div>y</div><p>z</div>Two<section><div class=ad>x</section>Three</article>", "One\nTwo\nThree"),
-        ("<article>One one<p class=ad>x</article><div>out</div><article>Two</article>", "One one"),
+        ("<article>One one<p class=ad>x</article><div>out</div><article>Two</article>", "One one\nTwo"),
         ("<html><head><meta charset=x><title>t</title><body><p>One", "One"),
     ],
 )
@@ -351,6 +352,68 @@ def test_names_beside_the_article_are_whole(html, want):
     assert pages.main_text(html, {"word": 3.0, "other": -0.1}) == want
 
 
+def test_region_equals_trying_all_runs():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        scores = rng.integers(-4, 4, rng.integers(0, 12)).tolist()
+        runs = [(i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        best = max([0, *(sum(scores[i:j]) for i, j in runs)])
+        start, stop = pages.region(scores)
+        assert sum(scores[start:stop]) == best
+
+
+#: Fixture: names of words, so that articles differ; menus and notices before and after, articles of all sizes.
+def marked_page(rng, article: str) -> str:
+    words = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 500, n))
+    menu = "".join(f"<li><a href=/{i}>{words(1)}</a></li>" for i in range(rng.integers(3, 9)))
+    side = "".join(f"<li><a href=/{i}>{words(4)}</a>" for i in range(rng.integers(2, 6)))
+    return (
+        f"<html><head><title>{words(3)}</title></head><body><nav><ul>{menu}</ul></nav><div class=ad>{words(rng.integers(3, 15))}</div>"
+        f"<{article}><h1>{words(5)}</h1>" + "".join(f"<p>{words(rng.integers(10, 60))}" for _ in range(rng.integers(1, 12))) + f"</{article}>"
+        f"<div class='box related'><ul>{side}</ul></div><footer>&copy; {words(rng.integers(4, 20))}</footer></body></html>"
+    )
+
+
+def word_f1(got: str, want: str) -> float:
+    both = sum((Counter(got.split()) & Counter(want.split())).values())
+    return 2 * both / (len(got.split()) + len(want.split())) if both else 0.0
+
+
+def test_scan_finds_unmarked_articles_without_lists(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, "u", marked_page(rng, "article")) for i in range(300)]
+    weights = pages.learn_weights(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert weights["word"] > 0 and max(value for kind, value in weights.items() if kind != "word") < 0
+    plain = [marked_page(rng, "section") for _ in range(100)]
+    want = [pages.main_text(html.replace("<section>", "<article>").replace("</section>", "</article>"), weights) for html in plain]
+    assert all(want)
+    monkeypatch.setattr(pages, "BESIDE", frozenset())
+    monkeypatch.setattr(pages, "LEFT_OUT", frozenset(["head"]))
+    got = [pages.main_text(html, weights) for html in plain]
+    assert np.mean([word_f1(a, b) for a, b in zip(got, want, strict=True)]) >= 0.95
+
+
+def test_scan_finds_unmarked_articles_of_the_given_pages(spark, monkeypatch):
+    given = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    weights = pages.learn_weights(given)
+    html = [r.html for r in given.collect()]
+    want = [pages.main_text(one, weights) for one in html]
+    monkeypatch.setattr(pages, "BESIDE", frozenset())
+    monkeypatch.setattr(pages, "LEFT_OUT", frozenset(["head"]))
+    got = [pages.main_text(re.sub("(</?)article", r"\1section", one), weights) for one in html]
+    assert np.mean([word_f1(a, b) for a, b in zip(got, want, strict=True)]) >= 0.95
+
+
+def test_marked_text_is_whole():
+    weights = pages.complete({"li": -9.0, "a": -9.0, "nav": -7.0, "nav/li": -9.0, "div": -8.0}, 0.02)
+    cells = "".join(f"<tr><td>{c}</td></tr>" for c in "abcdefghijklmnopqrstuvwxyzabcd")
+    listed = "".join(f"<li><a href=x>{c}</a></li>" for c in "abcdefghij")
+    body = f"<p>{'long ' * 200}</p><table>{cells}</table><ul>{listed}</ul><nav><ul><li>menu</ul></nav><p>The close"
+    text = pages.main_text(f"<nav><ul><li>x</ul></nav><article>{body}</article><div>out</div>", weights).split("\n")
+    assert text == [" ".join(["long"] * 200), *"abcdefghijklmnopqrstuvwxyzabcd", *"abcdefghij", "The close"]
+    assert pages.main_text("<article><p>One</p></article><article><p>Two</p></article>", weights) == "One\nTwo"
+
+
 def test_adaptive_scan_finds_the_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(400, 32)).astype(np.float32)
