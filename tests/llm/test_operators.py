@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from claimlode.llm import chat, jaccard, mixing, neighbours, packing, pages, quality, repeats, sketches, urls
@@ -82,6 +83,37 @@ def test_best_two_fit_replaces_the_smallest():
     assert packing.fill_plan(counts, 10)[0] == ({6: 1, 2: 2}, 1)
 
 
+def plain_bins(lengths, capacity):
+    """Best-two-fit, one piece after the other."""
+    left, bins = sorted(lengths, reverse=True), []
+    while left:
+        rest, held, room = list(left), [], capacity
+        while fitting := [x for x in rest if x <= room]:
+            rest.remove(fitting[0])
+            held.append(fitting[0])
+            room -= fitting[0]
+        smallest = min(held)
+        pairs = [(a + b, -a) for i, a in enumerate(rest) for b in rest[i + 1 :] if smallest < a + b <= room + smallest]
+        if room and pairs:
+            total, larger = max(pairs)
+            held.remove(smallest)
+            held += [-larger, total + larger]
+        for x in held:
+            left.remove(x)
+        bins.append(sorted(held))
+    return sorted(bins)
+
+
+def test_plan_of_counts_equals_piece_by_piece():
+    rng = np.random.default_rng(11)
+    for _ in range(300):
+        capacity = int(rng.integers(3, 25))
+        lengths = rng.integers(1, capacity + 1, rng.integers(0, 40)).tolist()
+        plan = packing.fill_plan(np.bincount(lengths, minlength=capacity + 1), capacity)
+        bins = [sorted(Counter(items).elements()) for items, repeats in plan for _ in range(repeats)]
+        assert sorted(bins) == plain_bins(lengths, capacity), (capacity, sorted(lengths))
+
+
 def test_targets_share_out_all_and_stop_at_three_times():
     out = mixing.targets([100, 10, 1000], [1, 2, 3])
     assert out[1] == 30 and sum(out) == pytest.approx(1110) and out[2] == pytest.approx(3 * out[0])
@@ -181,6 +213,24 @@ def test_hash_collisions_are_found_out():
     assert set(found) == {(1, 0, 12), (2, 0, 12)}
 
 
+def plain_sketch(text, scale=sketches.SCALE):
+    """Shingle hashes below the fixed fraction, and the smallest, as signed numbers in order."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    hashes = set()
+    for i in range(max(len(words) - 4, min(len(words), 1))):
+        seed = 42
+        for word in words[i : i + 5]:
+            seed = xxhash.xxh64(word.encode(), seed=seed).intdigest()
+        hashes.add(seed - (1 << 64) if seed >> 63 else seed)
+    return sorted(h for h in hashes if h < -(1 << 63) + (1 << 64) // scale or h == min(hashes))
+
+
+def plain_containment(one, other):
+    if not one or not other:
+        return float(one == other)
+    return len({*one} & {*other}) / min(len(one), len(other))
+
+
 def test_sketches(spark, docs):
     rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     got = {r.doc_id: r for r in sketches.edited_fingerprints(docs).collect()}
@@ -191,7 +241,11 @@ def test_sketches(spark, docs):
         edited = texts[here][: len(texts[here]) - quarter] + texts[after][:quarter]
         assert got[here].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert got[here].n_chars == len(texts[here])
-        assert 0 <= got[here].near_edited <= 1 and 0 <= got[here].near_next <= 1
+        own, changed, following = plain_sketch(texts[here]), plain_sketch(edited), plain_sketch(texts[after])
+        assert got[here].fingerprint == ",".join(f"{h % (1 << 64):X}" for h in own)
+        assert got[here].edited_fingerprint == ",".join(f"{h % (1 << 64):X}" for h in changed)
+        assert got[here].near_edited == plain_containment(own, changed)
+        assert got[here].near_next == plain_containment(own, following)
     assert got[40].fingerprint == got[41].fingerprint and got[40].near_next == 1.0
     whole = spark.sql("SELECT 'a b c d e f g h i j' AS x, 'a b c d e f' AS y, 'e f g h i j' AS z")
     one = whole.select(
