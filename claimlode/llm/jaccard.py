@@ -36,7 +36,12 @@ SHINGLE, PERCENT = 5, 75
 PER_GROUP = 2
 #: Sets of a block, and shingles of the sets held against one other, that meet in one task.
 BLOCK_ROWS, ROOM_SHINGLES = 4096, 1 << 18
-LEAF = 32
+#: Stars of at most LEAF sets are one leaf; larger ones are trees of FAN children a box.
+LEAF, FAN = 32, 8
+#: Cells of the count vectors, and pairs of boxes, that a tree join holds against each other at once.
+PAIR_CELLS, PAIR_ROWS = 1 << 20, 1 << 15
+#: Shingles whose blocks are cut into slices, at most; the list of them is broadcast.
+HOT_SHINGLES = 4096
 #: Shingles fall into 2**COMMON_BITS buckets; a bucket over so many times the mean count is common, the more the later.
 COMMON_BITS, COMMON = 18, (2, 16, 128)
 _SLICE = 2 << 20
@@ -139,29 +144,23 @@ def describe(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def blocks(sets: DataFrame) -> DataFrame:
-    """(head, node): sets other than the smallest digest, the head, of every block of two or more."""
+    """(head, node): sets other than the smallest digest, the head, of every block of two or more.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token0 = head0 = last0 = None  # the open block may go on in the next batch
-        for batch in batches:
-            token, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(token):
-                continue
-            fresh = np.concatenate(([True], token[1:] != token[:-1]))
-            again = np.concatenate(([False], (token[1:] == token[:-1]) & (node[1:] == node[:-1])))
-            head = node[np.maximum.accumulate(np.where(fresh, np.arange(len(token)), 0))]
-            if token0 is not None and token[0] == token0:
-                same = np.cumsum(fresh) == 1
-                head = np.where(same, head0, head)
-                again[0] = node[0] == last0
-            token0, head0, last0 = token[-1], head[-1], node[-1]
-            out = (node != head) & ~again
-            yield pa.record_batch({"head": head[out], "node": node[out]})
-
-    rows = sets.where("node IS NOT NULL").select(F.explode("first").alias("token"), "node")
-    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(
-        run, "head long, node long"
-    )
+    Takes (node, first) with one row per set, so copies add nothing. A block's head is a partial minimum; its
+    sets then meet it by shingle, and a shingle of more than BLOCK_ROWS sets does so in slices.
+    """
+    rows = sets.select(F.explode("first").alias("token"), "node")
+    heads = rows.groupBy("token").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size"))
+    heads = stored(heads.where("size > 1"), "block-heads")
+    total = heads.agg(F.sum("size")).first()[0] or 0
+    # no more than HOT_SHINGLES shingles can be above this
+    limit = max(BLOCK_ROWS, total // HOT_SHINGLES)
+    slices = F.ceil(F.col("size") / limit).cast("int")
+    hot = heads.where(F.col("size") > limit).select("token", slices.alias("slices"))
+    cut = rows.join(F.broadcast(hot), "token", "left")
+    cut = cut.select("token", "node", F.pmod(F.xxhash64("node"), F.coalesce("slices", F.lit(1))).cast("int").alias("slice"))
+    dealt = heads.select("token", "head", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    return cut.join(dealt, ["token", "slice"]).where("node != head").select("head", "node")
 
 
 def vector(counts: bytes, width: int) -> np.ndarray:
@@ -241,41 +240,68 @@ def verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame, docs: DataFra
 
 
 class Tree:
-    """R-tree over count vectors of one width: leaves of LEAF points, packed in the order of set size."""
+    """R-tree over count vectors of one width: points packed by component and set size, boxes of FAN points, boxes of
+    FAN boxes, and so on up to one root.
+
+    Per level, from the points up: the upper corner, the smallest and the largest set, and the component if there is only one (else -1).
+    """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, label: np.ndarray) -> None:
-        self.order = np.lexsort((*points.T[:2], sizes))
-        self.points, self.sizes, self.label = points[self.order], sizes[self.order], label[self.order]
-        self.cuts = np.arange(0, len(sizes), LEAF)
-        self.upper = np.maximum.reduceat(self.points, self.cuts)
-        self.small = np.minimum.reduceat(self.sizes, self.cuts)
-        self.large = np.maximum.reduceat(self.sizes, self.cuts)
-        low, high = np.minimum.reduceat(self.label, self.cuts), np.maximum.reduceat(self.label, self.cuts)
-        self.only = np.where(low == high, low, -1)  # the component, if a leaf has only one
+        self.order = np.lexsort((*points.T[:2], sizes, label))
+        sizes, label = sizes[self.order], label[self.order]
+        self.levels = [(points[self.order], sizes, sizes, label)]
+        while len(self.levels[-1][1]) > 1:
+            upper, small, large, only = self.levels[-1]
+            cuts = np.arange(0, len(small), FAN)
+            low, high = np.minimum.reduceat(only, cuts), np.maximum.reduceat(only, cuts)
+            self.levels.append(
+                (
+                    np.maximum.reduceat(upper, cuts),
+                    np.minimum.reduceat(small, cuts),
+                    np.maximum.reduceat(large, cuts),
+                    np.where(low == high, low, -1),
+                )
+            )
+
+    def children(self, level: int, boxes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Children of ``boxes`` one level below, and for each the place of its parent in ``boxes``."""
+        below = boxes[:, None] * FAN + np.arange(FAN)
+        there = below < len(self.levels[level - 1][1])
+        return below[there], np.nonzero(there)[0]
 
     def join(self, other: Tree, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(own point, other point, bound over requirement) of pairs of different components that may be alike.
 
-        A pair of leaves is left out by the sum of the smaller upper corners, or if it holds one component.
+        Both trees are descended together. A pair of boxes is left out, with all below, if the sum of the smaller
+        upper corners is under what their smallest sets must share, if no sizes fit, or if they hold one component.
         """
-        for leaf, start in enumerate(self.cuts):
-            own = np.arange(start, min(start + LEAF, len(self.sizes)))
-            least = required(other.small, self.small[leaf], percent)
-            alive = (100 * other.large >= percent * self.small[leaf]) & (percent * other.small <= 100 * self.large[leaf])
-            alive &= (self.only[leaf] < 0) | (other.only != self.only[leaf])
-            alive[alive] = np.minimum(other.upper[alive], self.upper[leaf]).sum(1) >= least[alive]
-            near = (other.cuts[alive][:, None] + np.arange(LEAF)).ravel()
-            near = near[near < len(other.sizes)]
-            step = max(LEAF, (1 << 20) // (LEAF * self.points.shape[1]))
-            for i in range(0, len(near), step):
-                at = near[i : i + step]
-                bound = np.minimum(self.points[own][:, None], other.points[at]).sum(-1)
-                n, m = self.sizes[own][:, None], other.sizes[at]
-                over = bound - required(n, m, percent)
-                fits = (over >= 0) & (self.label[own][:, None] != other.label[at])
-                fits &= (100 * n >= percent * m) & (100 * m >= percent * n)
-                x, y = np.nonzero(fits)
-                yield self.order[own[x]], other.order[at[y]], over[x, y]
+        root = np.zeros(1, np.int64)
+        step = min(PAIR_ROWS, max(FAN, PAIR_CELLS // self.levels[0][0].shape[1]))
+        todo = [(len(self.levels) - 1, len(other.levels) - 1, root, root)]
+        while todo:
+            one, two, i, j = todo.pop()
+            if len(i) > step:
+                todo.append((one, two, i[step:], j[step:]))
+                i, j = i[:step], j[:step]
+            (upper, small, large, only), (upper2, small2, large2, only2) = self.levels[one], other.levels[two]
+            fits = (100 * large2[j] >= percent * small[i]) & (percent * small2[j] <= 100 * large[i])
+            fits &= (only[i] < 0) | (only[i] != only2[j])
+            i, j = i[fits], j[fits]
+            over = np.minimum(upper[i], upper2[j]).sum(1) - required(small[i], small2[j], percent)
+            i, j, over = i[over >= 0], j[over >= 0], over[over >= 0]
+            if not len(i):
+                continue
+            if not one and not two:
+                yield self.order[i], other.order[j], over
+                continue
+            one_down, two_down = one >= two, two >= one  # the higher box is opened, of equal ones both
+            if one_down:
+                i, at = self.children(one, i)
+                j = j[at]
+            if two_down:
+                j, at = other.children(two, j)
+                i = i[at]
+            todo.append((one - one_down, two - two_down, i, j))
 
 
 def crossing_pairs(table: pa.Table, percent: int, nearest: bool) -> pa.Table:
@@ -424,9 +450,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     null ids the smallest other id counts, null if there is none. Other columns are ignored.
     """
     described = stored(describe(docs, percent), "shingle-sets")
-    sets = described.where("node IS NOT NULL").select("node", "n", "counts").dropDuplicates(["node"])
+    sets = described.where("node IS NOT NULL").select("node", "n", "counts", "first").dropDuplicates(["node"])
     sets = stored(sets, "distinct-sets")
-    stars = stored(blocks(described).distinct(), "blocks")
+    stars = stored(blocks(sets).distinct(), "blocks")
     pairs = stars.select(F.col("head").alias("a"), F.col("node").alias("b"))
     likely = stored(bounded(pairs, sets, percent), "bounded-pairs")
     owner = F.min(F.struct("doc_id", "digest")).alias("owner")

@@ -570,6 +570,40 @@ def test_leaf_pairs_equal_plain_bounds():
     assert sorted(pairs) == sorted(want)
 
 
+@pytest.mark.parametrize(("n", "m", "cells"), [(1, 1, 1 << 20), (9, 1, 1 << 20), (700, 90, 1 << 20), (300, 300, 64)])
+def test_tree_join_equals_plain_bounds(monkeypatch, n, m, cells):
+    monkeypatch.setattr(jaccard, "PAIR_CELLS", cells)
+    rng = np.random.default_rng(n)
+    kinds = rng.integers(0, 4, (6, 16))  # points near each other, as sets of one passage are
+
+    def points(k):
+        label = rng.integers(0, 6, k)
+        counts = (kinds[rng.integers(0, 6, k)] + (rng.random((k, 16)) < 0.1)).astype(np.int32)
+        return counts, counts.sum(1).astype(np.int64), label
+
+    (p, sizes, label), (q, sizes2, label2) = points(n), points(m)
+    bound = np.minimum(p[:, None], q).sum(-1)
+    over = bound - jaccard.required(sizes[:, None], sizes2, 75)
+    near = 100 * np.minimum(sizes[:, None], sizes2) >= 75 * np.maximum(sizes[:, None], sizes2)
+    want = np.argwhere((over >= 0) & near & (label[:, None] != label2))
+    one, other = jaccard.Tree(p, sizes, label), jaccard.Tree(q, sizes2, label2)
+    assert len(one.levels[-1][1]) == len(other.levels[-1][1]) == 1
+    found = [row for part in one.join(other, 75) for row in zip(*part, strict=True)]
+    assert sorted((i, j) for i, j, _ in found) == sorted(map(tuple, want))
+    assert all(bound_over == over[i, j] for i, j, bound_over in found)
+
+
+@pytest.mark.parametrize("limit", [4096, 3])
+def test_blocks_name_each_set_with_the_smallest_one(spark, monkeypatch, limit):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", limit)
+    rng = random.Random(2)
+    sets = [(i * 7 - 90, [-5, *rng.sample(range(60), 3)] if i % 2 else rng.sample(range(60), 4)) for i in range(40)] + [(999, [])]
+    heads = {t: min(node for node, first in sets if t in first) for t in range(-5, 60) if any(t in first for _, first in sets)}
+    want = {(heads[t], node) for node, first in sets for t in first if heads[t] != node}
+    frame = spark.createDataFrame(sets, "node long, first array<long>")
+    assert {tuple(r) for r in jaccard.blocks(frame).collect()} == want
+
+
 def test_places_put_common_shingles_last():
     hashes = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 60).astype(np.uint64)).reshape(3, 20)
     level = np.random.default_rng(2).integers(0, 4, 1 << jaccard.COMMON_BITS).astype(np.uint8)
