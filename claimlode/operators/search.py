@@ -1,9 +1,10 @@
 """Exact top-k search: blocks of queries meet chunks of the corpus inside the tasks.
 
-Queries and corpus rows are packed into rows of some thousand vectors. Every task pairs the chunks of
-its own part of the corpus with all query blocks, which it reads from a stored table: neither a query
+Queries and corpus rows are packed into rows of some thousand vectors. Every task pairs the chunks of one
+part of the corpus with one part of the query blocks, both read from stored tables: neither a query
 vector nor a corpus row passes the driver, and the corpus is not shuffled. Each task keeps the k
-best rows per query, so only those are.
+best rows per query, so only those are. With many queries the parts of the corpus are few and large: the
+rows to merge are queries x k x parts.
 """
 
 from __future__ import annotations
@@ -32,8 +33,14 @@ from claimlode.session import stored
 # Queries in a block, and corpus rows in a chunk: 6 MB each at 384 floats.
 BLOCK_QUERIES = 4_096
 CHUNK_ROWS = 4_096
-# Query values that one task goes through (128 MB of doubles); more queries scan the corpus again.
-SCAN_VALUES = 1 << 24
+# Query values and hits that one task holds (16 MB of doubles); more queries scan the corpus again.
+SCAN_VALUES = 1 << 21
+# What a held hit counts as: its row, key, score, place and carried columns.
+HIT_VALUES = 16
+# Corpus values that one task reads when there are several scans (256 MB of floats).
+PART_VALUES = 1 << 26
+# Tasks per core that a search with several scans is cut into, where the corpus has so many splits.
+TASKS_PER_CORE = 3
 # Score cells computed at once inside a task (32 MB of doubles).
 TILE_CELLS = 4_000_000
 # Candidates of a query are ranked in so many slices first, then the slices' best.
@@ -106,12 +113,19 @@ def refuse_repeats(most: int | None, query_id: str) -> None:
 
 
 def query_table(
-    queries: DataFrame, query_id: str, vector: str, block_queries: int, floor: str | None = None
+    queries: DataFrame, query_id: str, vector: str, block_queries: int, floor: str | None = None, k: int = 1
 ) -> DataFrame:
     """All queries with a vector as a stored table of blocks (_block, _ids, _floors, _values).
 
-    A repeated id is an error. The table has one partition per SCAN_VALUES values.
+    A repeated id is an error. The table has one partition per SCAN_VALUES values, hits included.
     """
+    return _query_scans(queries, query_id, vector, block_queries, floor, k)[0]
+
+
+def _query_scans(
+    queries: DataFrame, query_id: str, vector: str, block_queries: int, floor: str | None, k: int
+) -> tuple[DataFrame, int]:
+    """(:func:`query_table`, its number of partitions)."""
     usable = queries.where(F.col(vector).isNotNull()).select(
         F.col(query_id).alias("_ids"),
         (F.col(floor) if floor else F.lit(None)).cast("double").alias("_floors"),
@@ -121,10 +135,11 @@ def query_table(
     blocks = stored(blocks.withColumn("_block", F.monotonically_increasing_id()), "query-blocks")
     each = blocks.select(F.posexplode("_ids").alias("_at", "_id"), F.size("_values").cast("bigint").alias("_size"))
     counted = each.groupBy("_id").agg(F.count("*").alias("_n"), F.sum(F.when(F.col("_at") == 0, F.col("_size"))).alias("_size"))
-    most, values = counted.agg(F.max("_n"), F.sum("_size")).first()
+    most, values, asked = counted.agg(F.max("_n"), F.sum("_size"), F.count("*")).first()
     refuse_repeats(most, query_id)
-    scans = -(-(values or 0) // SCAN_VALUES)
-    return blocks.coalesce(1) if scans <= 1 else blocks.repartition(scans, "_block")
+    scans = max(1, -(-((values or 0) + asked * k * HIT_VALUES) // SCAN_VALUES))
+    # By range the blocks are dealt evenly: they are few, so all of them are in the planner's sample.
+    return (blocks.coalesce(1) if scans == 1 else blocks.repartitionByRange(scans, "_block")), scans
 
 
 class _Best:
@@ -253,14 +268,18 @@ def _scan(
     vector: str,
     carry: tuple[str, ...],
     distinct: str | None,
+    scans: int = 1,
 ) -> DataFrame:
     """Candidates of every task: (query id, row id, carried columns, _key, score)."""
     kept = [row_id, *carry]
     narrow = narrowed(corpus, row_id, vector, carry)
     schema = hit_schema(query_field, [narrow.schema[name] for name in kept])
     names = schema.fieldNames()
-    # Each task reads its chunks once and goes through all blocks for each; nothing is shuffled or broadcast.
-    met = packed(narrow, vector, CHUNK_ROWS).crossJoin(blocks.hint("shuffle_replicate_nl"))
+    chunks = packed(narrow, vector, CHUNK_ROWS)
+    if scans > 1:
+        chunks = _corpus_parts(chunks, vector, scans)
+    # Each task reads its chunks once and goes through its blocks for each; no row is shuffled or broadcast.
+    met = chunks.crossJoin(blocks.hint("shuffle_replicate_nl"))
 
     def best_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, tuple[QueryBlock, _Best]] = {}
@@ -285,6 +304,14 @@ def _scan(
     return met.mapInArrow(best_rows, schema)
 
 
+def _corpus_parts(chunks: DataFrame, vector: str, scans: int) -> DataFrame:
+    """The chunks as a stored table, packed once for all scans, in parts of PART_VALUES or as many as keep the cores busy."""
+    kept = stored(chunks.withColumn("_size", F.size(vector).cast("bigint")), "corpus-chunks")
+    values = kept.agg(F.sum("_size")).first()[0] or 0
+    cores = kept.sparkSession.sparkContext.defaultParallelism
+    return kept.drop("_size").coalesce(max(1, -(-values // PART_VALUES), -(-TASKS_PER_CORE * cores // scans)))
+
+
 def _merge(
     found: DataFrame, query_id: str, row_id: str, carry: tuple[str, ...], k: int, distinct: str | None
 ) -> DataFrame:
@@ -338,7 +365,7 @@ def topk(
     of that column counts, so a query gets k different values whenever the corpus has them.
 
     Queries come in blocks of ``block_queries``; the corpus is scanned once for every SCAN_VALUES of their
-    values. ``seed`` may be any part of the corpus, e.g. one batch: its k-th scores let every task
+    values and hits, which bounds what a task holds. ``seed`` may be any part of the corpus, e.g. one batch: its k-th scores let every task
     drop hopeless rows at once, which keeps the shuffle small when the corpus has very many
     partitions. It never changes the result.
     """
@@ -348,12 +375,12 @@ def topk(
     if distinct is not None and distinct not in carry:
         carry += (distinct,)
     asked = queries.select(query_id, vector)
-    blocks = query_table(asked, query_id, vector, block_queries)
-    plan = (queries.schema[query_id], k, metric, row_id, vector, carry, distinct)
+    blocks, scans = _query_scans(asked, query_id, vector, block_queries, None, k)
+    plan = (queries.schema[query_id], k, metric, row_id, vector, carry, distinct, scans)
     if seed is not None:
         early = _merge(_scan(seed, blocks, *plan), query_id, row_id, carry, k, distinct)
         floors = _floors(early, query_id, k, metric)
-        blocks = query_table(asked.join(floors, query_id, "left"), query_id, vector, block_queries, "_floor")
+        blocks, _ = _query_scans(asked.join(floors, query_id, "left"), query_id, vector, block_queries, "_floor", k)
     return _merge(_scan(corpus, blocks, *plan), query_id, row_id, carry, k, distinct)
 
 

@@ -246,3 +246,20 @@ def test_unequal_dimensions_are_an_error(spark, data):
     odd = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "query_id long, embedding array<float>").coalesce(1)
     with pytest.raises(Exception, match="unequal dimension"):
         search.topk(odd, data[1], 3).collect()
+
+
+def test_many_queries_meet_few_large_parts_of_the_corpus(data, monkeypatch):
+    queries, corpus, asked, points, groups = data
+    monkeypatch.setattr(search, "SCAN_VALUES", 400)
+    monkeypatch.setattr(search, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(search, "TASKS_PER_CORE", 1)
+    split = corpus.repartition(12)
+    blocks, scans = search._query_scans(queries, "query_id", "embedding", 3, None, 5)
+    # hits count towards what a task holds: 30 queries x 5 hits alone are 2400 values
+    assert scans >= 6 and blocks.rdd.getNumPartitions() == scans
+    plan = (queries.schema["query_id"], 5, "inner", "row_id", "embedding", ("patent_id",), "patent_id", scans)
+    part = search._scan(split, blocks, *plan)
+    parts = part.select("query_id", F.spark_partition_id().alias("p")).distinct().groupBy("query_id").count()
+    assert parts.agg(F.max("count")).first()[0] <= 4
+    got = search.topk_distinct(queries, split, k=5, block_queries=3)
+    assert found(got) == brute(asked, points, 5, "inner", groups)
