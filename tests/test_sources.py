@@ -195,3 +195,24 @@ def test_a_load_counts_each_batch_while_it_writes(spark, tmp_path, group):
     assert spark.read.parquet(path).count() == 15
     manifest = audit.load_batches(meta.where("batch_id < 2"), vectors, write, group=group)
     assert manifest.where("status = 'missing'").count() == 3 and spark.read.parquet(path).count() == 22
+
+
+def test_a_load_takes_few_writes_however_many_batches(spark, tmp_path):
+    meta = spark.range(200).selectExpr("int(id div 2) AS batch_id", "id % 2 AS pos", "string(id) AS patent_id", "'t' AS cleaned_claim")
+    vectors = spark.range(200).selectExpr("int(id div 2) AS batch_id", "id % 2 AS pos", "array(float(id)) AS embedding")
+    path, calls = str(tmp_path / "target"), []
+
+    def write(rows):
+        calls.append(1)
+        tables.append_vectors(rows, path, 1)
+
+    got = audit.load_batches(meta, vectors, write, group=4)
+    assert len(calls) == 1 and got.where("status = 'ok' AND written_rows = 2").count() == 100
+    assert spark.read.parquet(path).count() == 200
+    odd = vectors.withColumn("embedding", F.when(F.col("batch_id") == 70, F.array()).otherwise(F.col("embedding")).cast("array<float>"))
+    again = audit.load_batches(meta, odd, write, group=4)
+    assert len(calls) < 18 and [r.batch_id for r in again.where("status = 'failed'").collect()] == [70]
+    assert again.where("written_rows = 2").count() == 99 and spark.read.parquet(path).count() == 398
+    half = lambda rows: write(rows.limit(50))
+    with pytest.raises(RuntimeError, match="50 rows of the batches 0 to 99"):
+        audit.load_batches(meta, vectors, half, group=4)
