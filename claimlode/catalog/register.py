@@ -252,13 +252,14 @@ def union_batches(spark, root):
 
 @query
 def ingest_runs(spark, root):
-    """The incremental job over three files and three runs: one stops in its second micro-batch, one repeats
-    that batch and goes on, one takes the file that came later. Every row once."""
+    """The incremental job over three arrivals and three runs: one stops in its second micro-batch, one repeats
+    that batch and goes on, one takes the arrival that came later. Every row once. An arrival has as many files as
+    its table has splits, so no task holds it whole, and a micro-batch takes the files of about one arrival."""
     source, target, checkpoint = (shared_path(spark, name) for name in ("arrivals", "ingested", "ingest-state"))
     docs = views.table(spark, root, "documents")
 
     def arrive(part: int) -> None:
-        docs.where(F.col("doc_id") % 3 == part).coalesce(1).write.mode("append").parquet(source)
+        docs.where(F.col("doc_id") % 3 == part).write.mode("append").parquet(source)
 
     def run(encoder) -> None:
         ingest_incremental(
@@ -269,7 +270,7 @@ def ingest_runs(spark, root):
             docs.schema,
             encoder,
             prepare=views.as_claims,
-            files_per_trigger=1,
+            files_per_trigger=first_files,
             spread_by="row_id",
         )
 
@@ -282,6 +283,7 @@ def ingest_runs(spark, root):
         return views.encode(claims, text)
 
     arrive(0)
+    first_files = len(spark.read.parquet(source).inputFiles())
     arrive(1)
     try:
         run(fails_second)

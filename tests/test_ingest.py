@@ -59,3 +59,23 @@ def test_a_failed_micro_batch_is_replayed(spark, tmp_path):
     run(views.encode)
     rows = spark.read.parquet(target).collect()
     assert sorted(r.row_id for r in rows) == [0, 1, 2] and len({r.batch_id for r in rows}) == 3
+
+
+def test_an_arrival_has_the_splits_of_its_table(spark, tmp_path):
+    from pathlib import Path
+
+    from claimlode.catalog.register import REGISTER
+    from claimlode.session import shared_dir
+
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat('a claim ', id) AS text")
+    docs.repartition(4).write.option("maxRecordsPerFile", 15).parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.files.openCostInBytes", 64 << 20)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("arrivals-*"))
+    try:
+        rows = REGISTER["ingest_incremental"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r.row_id for r in rows.select("row_id").collect()) == list(range(60))
+    (arrivals,) = set(folder.glob("arrivals-*")) - before
+    assert len(list(arrivals.glob("part-*"))) > 3
