@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 READ_ROWS = 10_000
 # Bytes of a vector file that one task reads.
 SLICE_BYTES = 64 << 20
-# Tasks of one import; more slices share them.
-MOST_TASKS = 100_000
+# Bytes of slices, and slices, that one task takes one after the other; a slice costs an opened file.
+TASK_BYTES = 64 << 20
+TASK_SLICES = 512
 # Fixed value: the number just before the file ending is the batch number.
 BATCH_NUMBER_PATTERN = r"(\d+)\.[^.]*$"
 
@@ -92,7 +93,7 @@ def read_vector_batches(
     """Rows (batch_id, pos, embedding) of dense matrix files, as float32.
 
     Files are cut into slices of ``slice_bytes``; a task opens the file, reads its header and the rows that start
-    in its slice. Only names and sizes of the files are listed beforehand. Where the tasks have no
+    in its slice. Small slices share a task. Only names and sizes of the files are listed beforehand. Where the tasks have no
     access to byte ranges (a store that only Spark knows) each file is read whole by one task.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
@@ -101,9 +102,11 @@ def read_vector_batches(
     if first is None or not ranged_access(first["path"]):
         return _whole_vector_files(spark, path, pattern)
     cuts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.greatest("length", F.lit(1)) - 1) / slice_bytes))
-    slices = listed.select("path", "batch_id", F.explode(cuts).alias("cut"))
+    slices = listed.select("path", "length", "batch_id", F.explode(cuts).alias("cut"))
+    n_slices, n_bytes = slices.agg(F.count("*"), F.sum(F.least("length", F.lit(slice_bytes)))).first()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n_slices // TASK_SLICES), -(-n_bytes // TASK_BYTES))
     # A given number of partitions is not merged by the adaptive planner, to which these rows look tiny.
-    slices = slices.repartition(max(1, min(slices.count(), MOST_TASKS)), "path", "cut")
+    slices = slices.drop("length").repartition(min(n_slices, tasks), "path", "cut")
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

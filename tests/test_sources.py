@@ -216,3 +216,14 @@ def test_a_load_takes_few_writes_however_many_batches(spark, tmp_path):
     half = lambda rows: write(rows.limit(50))
     with pytest.raises(RuntimeError, match="50 rows of the batches 0 to 99"):
         audit.load_batches(meta, vectors, half, group=4)
+
+
+def test_small_slices_share_tasks(spark, tmp_path, monkeypatch):
+    matrix = np.arange(4000, dtype=np.float32).reshape(1000, 4)
+    for number in range(3):
+        np.save(tmp_path / f"b_{number}.npy", matrix + number)
+    monkeypatch.setattr(batch_files, "TASK_SLICES", 50)
+    rows = batch_files.read_vector_batches(spark, str(tmp_path), slice_bytes=64)
+    # 753 slices of 64 bytes
+    assert rows.rdd.getNumPartitions() == 16
+    assert rows.count() == 3000 and rows.where("embedding[0] = pos * 4 + batch_id").count() == 3000
