@@ -207,3 +207,14 @@ def test_tree_leaves_out_null_vectors_and_marks_odd_ones(spark, data, trained):
     assert set(got) == {2, 3} and got[2] is None and got[3] is not None
     with pytest.raises(ValueError, match="no centroids"):
         cells.cell_tree(trained.where("false"), data[1])
+
+
+def test_blocks_of_probes_share_one_part_of_a_cell(data, trained, monkeypatch):
+    queries, corpus = data
+    assigned = cells.assign_cells(corpus, trained)
+    whole = rows(cells.search_cells(queries, assigned, trained, 4, nprobe=2))
+    real, limits = cells.grid_cut, []
+    monkeypatch.setattr(cells, "grid_cut", lambda *given: limits.append(given[-1]) or real(*given))
+    monkeypatch.setattr(cells, "CHUNK_ROWS", 16)
+    assert rows(cells.search_cells(queries, assigned, trained, 4, nprobe=2, block_queries=7)) == whole
+    assert limits == [7 * cells.CELL_BLOCKS]
