@@ -263,3 +263,58 @@ def test_many_queries_meet_few_large_parts_of_the_corpus(data, monkeypatch):
     assert parts.agg(F.max("count")).first()[0] <= 4
     got = search.topk_distinct(queries, split, k=5, block_queries=3)
     assert found(got) == brute(asked, points, 5, "inner", groups)
+
+
+def _offered(block, points, k, distinct=None):
+    import pyarrow as pa
+
+    best = search._Best(block, k, distinct)
+    for start in range(0, len(points), 1000):
+        rows = pa.table({"row_id": np.arange(start, min(len(points), start + 1000)), "patent_id": [str(i % 300) for i in range(start, min(len(points), start + 1000))]})
+        search.offer(best, block, points[start : start + 1000].astype(float), rows, "inner")
+    best.settle()
+    return best
+
+
+@pytest.mark.parametrize("distinct", [None, "patent_id"])
+def test_few_products_are_taken_in_double(monkeypatch, distinct):
+    """Only the first rows, which give the floors, meet all queries in double; the result is that of brute force."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    points, asked = unit(rng, 6000), unit(rng, 300)
+    points[3000:3050] = points[:50]
+    cells = []
+    plain = search.gains
+    monkeypatch.setattr(search, "gains", lambda q, r, m: cells.append(len(q) * len(r)) or plain(q, r, m))
+    block = search.QueryBlock(pa.array(np.arange(300)), asked.astype(float))
+    best = _offered(block, points, 4, distinct)
+    assert sum(cells) < len(points) * len(asked) / 4
+    groups = [str(i % 300) for i in range(6000)] if distinct else None
+    rank = np.arange(len(best.query)) - np.searchsorted(best.query, best.query) + 1
+    got = set(zip(best.query.tolist(), rank.tolist(), best.rows["row_id"].to_pylist()))
+    assert got == brute(asked.astype(float), points.astype(float), 4, "inner", groups)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-12, 1e12])
+def test_the_sift_misses_no_cell(scale):
+    """A floor at the very gain of a cell: rounding to single precision must not lose it."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    points, asked = rng.normal(size=(501, 64)) * scale, rng.normal(size=(40, 64))
+    block = search.QueryBlock(pa.array(np.arange(40)), asked)
+    gain = asked @ points.T
+    floor = np.sort(gain, axis=1)[:, -5]
+    longest = float(np.sqrt((points**2).sum(1).max()))
+    query, row = search.sift(block, slice(0, 40), points.astype(np.float32), longest, floor, 10**9)
+    assert set(zip(*np.nonzero(gain >= floor[:, None]))) <= set(zip(query, row))
+    assert len(query) < 40 * 10
+    assert search.sift(block, slice(0, 40), points.astype(np.float32), longest, floor, 10) is None
+
+
+def test_set_cells():
+    rng = np.random.default_rng(5)
+    for shape in [(3, 8), (5, 7), (16, 1024)]:
+        mask = rng.random(shape) < 0.1
+        assert search.set_cells(mask).tolist() == np.flatnonzero(mask).tolist()
