@@ -68,10 +68,11 @@ def systematic_copies(docs: DataFrame, key: list[str], seed: int = 1) -> DataFra
 
     ``key`` orders documents of equal size and spreads a hot size over buckets; rows equal in all
     of it are taken in any order. ``docs`` is read twice: pass a stored table. Sums are windows over
-    (source, size class, bucket), never over a whole source; only their totals are summed per source.
+    (source, size class, bucket), never over a whole source; only their totals are summed per source. The totals
+    join on the very columns of the windows, so whole rows are shuffled once.
     """
-    part, band, bucket, own, before = (
-        spare_name(docs, name) for name in ("_part", "_band", "_bucket", "_own", "_before")
+    part, band, bucket, own, before, named, nameless = (
+        spare_name(docs, name) for name in ("_part", "_band", "_bucket", "_own", "_before", "_named", "_nameless")
     )
     n = docs.agg(F.count(F.lit(1))).first()[0]
     keyed = docs.select(
@@ -79,18 +80,19 @@ def systematic_copies(docs: DataFrame, key: list[str], seed: int = 1) -> DataFra
         F.floor(F.col("expected") * UNIT).alias(part),
         F.floor(F.log2(F.greatest("size", F.lit(1))) * 16).cast("int").alias(band),
         F.pmod(F.xxhash64(*key), F.lit(bucket_count(n))).cast("int").alias(bucket),
+        F.coalesce("source", F.lit("")).alias(named),
+        F.isnull("source").alias(nameless),
     )
-    group = ["source", band, bucket]
+    group = [named, nameless, band, bucket]
     sums = keyed.groupBy(*group).agg(F.sum(part).alias(before))
-    earlier = Window.partitionBy("source").orderBy(band, bucket).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(named, nameless).orderBy(band, bucket).rowsBetween(Window.unboundedPreceding, -1)
     other = {name: spare_name(docs, f"_of_{name}") for name in group}
     starts = sums.select(
         *(F.col(name).alias(other[name]) for name in group),
         F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before),
     )
     running = Window.partitionBy(*group).orderBy("size", *key).rowsBetween(Window.unboundedPreceding, 0)
-    same = [F.col("source").eqNullSafe(F.col(other["source"]))]
-    same += [F.col(name) == F.col(other[name]) for name in group[1:]]
+    same = [F.col(name) == F.col(other[name]) for name in group]
     # the first 24 bits of a digest, one number for each source
     digest = F.md5(F.concat_ws("\n", F.lit(str(seed)), "source").cast("binary"))
     offset = F.conv(F.substring(digest, 1, 6), 16, 10).cast("long")
@@ -107,7 +109,8 @@ def _expected(sized: DataFrame, cycle: Sequence[float], most: float) -> DataFram
     named = spare_name(sized, "_of_source")
     shares = source_targets(sized, cycle, most).withColumnRenamed("source", named)
     share = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    wide = sized.join(shares, F.col("source").eqNullSafe(F.col(named))).drop(named)
+    # one row per source, which the driver has held already
+    wide = sized.join(F.broadcast(shares), F.col("source").eqNullSafe(F.col(named))).drop(named)
     return wide.withColumn("expected", share)
 
 

@@ -194,3 +194,20 @@ def test_an_empty_corpus(spark, tmp_path):
     table(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).where(F.col("length") > 0).collect() == []
+
+
+def test_the_mix_shuffles_whole_rows_once(spark, tmp_path):
+    """Targets come by broadcast, and the totals join on the columns of the windows; null and '' are two sources."""
+    path = str(tmp_path / "docs")
+    rows = [(i, "w " * (i % 7), [None, "", "a"][i % 3]) for i in range(90)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(path)
+    docs = spark.read.schema("doc_id long, text string, source string").parquet(path)
+    mixed = mixing.mixed_documents(docs)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("SortMergeJoin") :] if "SortMergeJoin" in plan else plan
+    whole = [line for line in left.splitlines() if "Exchange hashpartitioning(" in line and line.lstrip(" ").startswith(":")]
+    assert plan.count("SortMergeJoin") <= 1 and len(whole) <= 1
+    taken = {(r.doc_id, r.copies) for r in mixing.mix(docs).collect() if r.copies}
+    assert {(r.doc_id, r["count"]) for r in mixed.groupBy("doc_id").count().collect()} == taken
+    sources = {r.source: (r.source_size, r.target) for r in mixing.mix(docs).collect()}
+    assert set(sources) == {None, "", "a"} and all(sources[s][0] for s in sources)
