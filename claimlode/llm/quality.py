@@ -23,7 +23,9 @@ SAMPLE_DOCS = 6000
 CHAIN = 64
 ROUNDS, RATE, PENALTY = 150, 0.1, 1e-3
 OWN_FEATURES = 17
-_SLICE = 2 << 20
+#: Bytes of text whose lines are weighed together, and, as features need many times a text's memory, those whose
+#: features are taken at once. A longer text is not cut.
+_SLICE, _PIECE = 2 << 20, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -193,7 +195,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", _SLICE):
+            for part in slices(batch, "text", _PIECE):
                 features, size, row = line_table(part.column("text"))
                 wide = with_neighbours(features, row).astype(np.float32)
                 yield pa.record_batch(
@@ -216,6 +218,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     return fit(features[order].astype(float), lines.column("size").to_numpy()[order], doc[order], label[order])
 
 
+def line_odds(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, row and log odds of good of every line of the texts, whose features are taken piece by piece."""
+    lines, begin = [], 0
+    for piece in slices(batch, "text", _PIECE):
+        features, size, row = line_table(piece.column("text"))
+        x = np.clip((with_neighbours(features, row) - model.mean) / model.spread, -6, 6)
+        lines.append((size, row + begin, x @ model.weights + model.bias))
+        begin += piece.num_rows
+    return tuple(np.concatenate(column) for column in zip(*lines, strict=True))
+
+
 def scorer(model: Model | None):
     """A column function: text to score. A text without words gets the share of good documents."""
 
@@ -224,12 +237,10 @@ def scorer(model: Model | None):
         out = [pa.array([], pa.float64())]
         for part in slices(pa.record_batch([text], names=["text"]), "text", _SLICE):
             n = part.num_rows
-            prior = 0.5 if model is None else model.prior
-            result = np.full(n, prior)
-            features, size, row = line_table(part.column(0))
-            if model is not None and len(row):
-                x = np.clip((with_neighbours(features, row) - model.mean) / model.spread, -6, 6)
-                good, _ = marginals(x @ model.weights + model.bias, row, model.follow)
+            result = np.full(n, 0.5 if model is None else model.prior)
+            if model is not None:
+                size, row, emit = line_odds(part, model)
+                good, _ = marginals(emit, row, model.follow)
                 weight = np.bincount(row, size, minlength=n)
                 mean = np.bincount(row, good * size, minlength=n) / np.maximum(weight, 1e-9)
                 result = np.where(weight > 0, mean, result)

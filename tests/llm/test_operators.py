@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -523,6 +524,45 @@ def test_quality_learns_and_scores_every_row(spark):
     assert {r.score for r in quality.score_documents(docs, known.where("false")).collect()} == {0.5}
 
 
+def traced_peak(work) -> int:
+    """Bytes that the work held at most beyond what there was before."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def long_batch() -> pa.RecordBatch:
+    """Two megabytes of text in 600 rows."""
+    rng = random.Random(9)
+    texts = ["\n".join(" ".join(rng.choices(WORDS, k=12)) for _ in range(50)) for _ in range(600)]
+    texts = [text[: (2 << 20) // 600] for text in texts]
+    ids = pa.array(range(len(texts)), pa.int64())
+    return pa.record_batch([ids, ids, pa.array(texts)], names=["doc", "doc_id", "text"])
+
+
+def test_scoring_holds_little_memory(spark):
+    text = long_batch().column("text")
+    assert text.nbytes > 1_000_000
+    rng = np.random.default_rng(1)
+    width = 3 * quality.OWN_FEATURES + 2
+    model = quality.Model(np.zeros(width), np.ones(width), rng.normal(size=width), 0.1, rng.normal(size=(2, 2)), 0.5)
+    score = quality.scorer(model).func
+    assert traced_peak(lambda: score(text)) < 30 * text.nbytes
+    alone = [score(text.slice(i, 1))[0].as_py() for i in range(0, len(text), 50)]
+    assert score(text).take(pa.array(range(0, len(text), 50))).to_pylist() == pytest.approx(alone, abs=1e-12)
+
+
+def test_anchors_hold_little_memory():
+    batch = long_batch()
+    rows = lambda part: [r for b in repeats.anchor_rows(part, 400, 64, repeats.utf8) for r in b.to_pylist()]
+    peak = traced_peak(lambda: [b.num_rows for b in repeats.anchor_rows(batch, 400, 64, repeats.utf8)])
+    assert peak < 40 * batch.column("text").nbytes
+    assert rows(batch) == [r for i in range(batch.num_rows) for r in rows(batch.slice(i, 1))]
+
+
 def test_empty_tables(spark, docs):
     none = docs.where("false")
     labels = spark.createDataFrame([], "doc_id long, quality int")
