@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 
 from claimlode.llm.common import (
     list_array,
+    merged_sections,
     mixed,
+    sections,
     shingle_hashes,
     shingle_rows,
     slices,
     spare_name,
     stored,
     utf8,
+    whole_array,
     word_borders,
-    word_hashes,
+    word_keys,
 )
 from claimlode.llm.graph import components
 
@@ -34,17 +37,22 @@ from claimlode.llm.graph import components
 SHINGLE, PERCENT = 5, 75
 #: Mean count of a group at most: so few that sets that are not alike seldom look so by their counts.
 PER_GROUP = 2
-#: Sets of a block, and shingles of the sets held against one other, that meet in one task.
+#: Sets of a part of a star, and shingles of the sets held against one other, that meet in one task.
 BLOCK_ROWS, ROOM_SHINGLES = 4096, 1 << 18
 #: Stars of at most LEAF sets are one leaf; larger ones are trees of FAN children a box.
 LEAF, FAN = 32, 8
 #: Cells of the count vectors, and pairs of boxes, that a tree join holds against each other at once.
 PAIR_CELLS, PAIR_ROWS = 1 << 20, 1 << 15
-#: Shingles whose blocks are cut into slices, at most; the list of them is broadcast.
-HOT_SHINGLES = 4096
-#: Shingles fall into 2**COMMON_BITS buckets; a bucket over so many times the mean count is common, the more the later.
-COMMON_BITS, COMMON = 18, (2, 16, 128)
-_SLICE = 2 << 20
+#: Shingles fall into 2**COMMON_BITS buckets; a bucket above these shares of all buckets in use is common, the more the later.
+COMMON_BITS, COMMON = 22, (0.75, 0.94, 0.985, 0.996, 0.999)
+#: Shingles of a range that one task names blocks by, and shingles that a task sorts before it deals them out.
+SECTION_SHINGLES, DEALT_SHINGLES = 1 << 16, 1 << 20
+#: Documents to read again fall into so many numbers.
+WANTED_NUMBERS = 1 << 20
+#: Cells of the table of buckets that travel in one row.
+SECTION = 1 << 14
+#: Texts hashed at once: few enough that the arrays stay in a core's cache.
+_SLICE = 512 << 10
 
 
 def required(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -61,49 +69,56 @@ def text_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes per text in ascending order, and their borders; A-Z lower-cased."""
     data, offsets = utf8(column)
     starts, ends, rows = word_borders(data, offsets)
-    return shingle_hashes(word_hashes(data, starts, ends), rows, len(column), SHINGLE)
+    return shingle_hashes(word_keys(data, starts, ends), rows, len(column), SHINGLE)
 
 
 def commonness(docs: DataFrame) -> np.ndarray:
     """How common the shingles of each of 2**COMMON_BITS buckets are, from 0 to len(COMMON).
 
-    Counted over all texts, repeats included. The table has the same size for any corpus. It only orders
-    shingles, so what shares a bucket costs time and changes no result.
+    Counted over all texts, repeats included. A bucket's rank among all tells, not its count, so at any size the same share of
+    them is common, and a passage of many texts stands out from the sum of the rare ones. The table has the same size for any corpus;
+    the driver gets a byte per bucket. It only orders shingles, so what shares a bucket costs time and changes no result.
     """
 
+    bits = COMMON_BITS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COMMON_BITS, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
                 data, offsets = utf8(part.column("text"))
                 starts, ends, rows = word_borders(data, offsets)
-                hashes, _ = shingle_rows(word_hashes(data, starts, ends), rows, part.num_rows, SHINGLE)
-                total += np.bincount(bucket(hashes), minlength=len(total))
-        some = np.flatnonzero(total)
-        for at in np.array_split(some, -(-len(some) // 65_536) or 1):
-            yield pa.record_batch({"bucket": at.astype(np.int32), "n": total[at]})
+                hashes, _ = shingle_rows(word_keys(data, starts, ends), rows, part.num_rows, SHINGLE)
+                np.add.at(total, bucket(hashes, bits), np.uint32(1))
+        yield from sections(np.minimum(total, 65_535).astype(np.uint16).astype(np.uint32), SECTION)
+
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            steps = [(8 * np.log2(1 + np.frombuffer(c.as_buffer(), np.uint32))).astype(np.uint8).tobytes() for c in batch.column("cells")]
+            yield pa.record_batch({"section": batch.column("section"), "cells": pa.array(steps, pa.binary())})
 
-    counted = docs.select("text").mapInArrow(run, "bucket int, n long")
-    summed = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(1 << COMMON_BITS, np.int64)
-    total[summed.column("bucket").to_numpy()] = summed.column("n").to_numpy()
-    return np.searchsorted(np.array(COMMON) * total.mean(), total, side="left").astype(np.uint8)
+    counted = docs.select("text").mapInArrow(run, "section int, cells binary")
+    summed = merged_sections(counted, np.add, "u4").mapInArrow(as_bytes, "section int, cells binary")
+    steps = whole_array(summed, 1 << bits, SECTION, "u1")
+    used = steps[steps > 0]
+    limits = np.quantile(used, COMMON, method="higher") if len(used) else np.zeros(len(COMMON))
+    return np.searchsorted(limits, steps, side="left").astype(np.uint8)
 
 
-def bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
+def bucket(hashes: np.ndarray, bits: int | None = None) -> np.ndarray:
+    return (hashes >> np.uint64(64 - (bits or COMMON_BITS))).astype(np.int64)
 
 
 def places(hashes: np.ndarray, row: np.ndarray, n: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Each shingle's place in its set when the less common come first, then the smaller hash."""
-    of = level[bucket(hashes)]
-    place = np.zeros(len(hashes), np.int64)
-    before = np.zeros(len(n), np.int64)
-    for at in range(len(COMMON) + 1):
-        rows = row[of == at]
-        count = np.bincount(rows, minlength=len(n))
-        place[of == at] = np.arange(len(rows)) - (np.cumsum(count) - count)[rows] + before[rows]
-        before += count
+    """Each shingle's place in its set when the less common come first, then the smaller hash.
+
+    ``hashes`` are in the order of ``row`` and hash, ``n`` of them in each row.
+    """
+    key = row * (len(COMMON) + 1) + level[bucket(hashes)]
+    if len(n) * (len(COMMON) + 1) <= 65_536:
+        key = key.astype(np.uint16)  # sorted by digits
+    place = np.empty(len(hashes), np.int64)
+    place[np.argsort(key, kind="stable")] = np.arange(len(hashes)) - (np.cumsum(n) - n)[row]
     return place
 
 
@@ -133,7 +148,9 @@ def describe(docs: DataFrame, percent: int) -> DataFrame:
                         "digest": part.column("digest"),
                         "n": pa.array(n),
                         "node": pa.array(node, mask=n == 0),
-                        "counts": pa.array([counts[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)], pa.binary()),
+                        "counts": pa.Array.from_buffers(
+                            pa.binary(), len(n), [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(counts)]
+                        ),
                         "first": list_array(hashes[kept].view(np.int64), np.concatenate(([0], np.cumsum(first)))),
                     }
                 )
@@ -144,23 +161,51 @@ def describe(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def blocks(sets: DataFrame) -> DataFrame:
-    """(head, node): sets other than the smallest digest, the head, of every block of two or more.
+    """(head, node): sets other than the smallest node, the head, of every block of two or more.
 
-    Takes (node, first) with one row per set, so copies add nothing. A block's head is a partial minimum; its
-    sets then meet it by shingle, and a shingle of more than BLOCK_ROWS sets does so in slices.
+    Takes (node, first) with one row per set, so copies add nothing. Shingles are dealt once, by ranges of about SECTION_SHINGLES
+    of them: a row holds those of one range from many sets, as two arrays. A task holds one range, 16 bytes a shingle.
     """
-    rows = sets.select(F.explode("first").alias("token"), "node")
-    heads = rows.groupBy("token").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size"))
-    heads = stored(heads.where("size > 1"), "block-heads")
-    total = heads.agg(F.sum("size")).first()[0] or 0
-    # no more than HOT_SHINGLES shingles can be above this
-    limit = max(BLOCK_ROWS, total // HOT_SHINGLES)
-    slices = F.ceil(F.col("size") / limit).cast("int")
-    hot = heads.where(F.col("size") > limit).select("token", slices.alias("slices"))
-    cut = rows.join(F.broadcast(hot), "token", "left")
-    cut = cut.select("token", "node", F.pmod(F.xxhash64("node"), F.coalesce("slices", F.lit(1))).cast("int").alias("slice"))
-    dealt = heads.select("token", "head", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
-    return cut.join(dealt, ["token", "slice"]).where("node != head").select("head", "node")
+    total = sets.agg(F.sum(F.size("first"))).first()[0] or 0
+    ranges = np.uint64(max(1, -(-total // SECTION_SHINGLES)))
+
+    def dealt(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        tokens, nodes = (np.concatenate(column) for column in zip(*held, strict=True))
+        order = np.argsort(tokens)
+        tokens, nodes = tokens[order], nodes[order]
+        section = (tokens >> np.uint64(32)) * ranges >> np.uint64(32)
+        cuts = np.flatnonzero(np.diff(section, prepend=section[:1] + np.uint64(1)))
+        borders = pa.py_buffer((8 * np.append(cuts, len(tokens))).astype(np.int32))
+        packed = [pa.Array.from_buffers(pa.binary(), len(cuts), [None, borders, pa.py_buffer(x)]) for x in (tokens, nodes)]
+        return pa.RecordBatch.from_arrays([pa.array(section[cuts].astype(np.int64)), *packed], names=["section", "tokens", "nodes"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            for part in (batch.slice(start, 256) for start in range(0, batch.num_rows, 256)):
+                first = part.column("first")
+                tokens = first.flatten().to_numpy().view(np.uint64)
+                held.append((tokens, np.repeat(part.column("node").to_numpy(), first.value_lengths().to_numpy())))
+                count += len(tokens)
+                if count >= DEALT_SHINGLES:
+                    yield dealt(held)
+                    held, count = [], 0
+        if count:
+            yield dealt(held)
+
+    def named(table: pa.Table) -> pa.Table:
+        tokens, nodes = (
+            np.concatenate([np.frombuffer(cell.as_buffer(), np.int64) for cell in table.column(c)]) for c in ("tokens", "nodes")
+        )
+        order = np.argsort(tokens)
+        tokens, nodes = tokens[order], nodes[order]
+        starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+        head = np.repeat(np.minimum.reduceat(nodes, starts), np.diff(np.append(starts, len(tokens))))
+        others = nodes != head
+        return pa.table({"head": head[others], "node": nodes[others]})
+
+    packed = sets.select("node", "first").mapInArrow(deal, "section long, tokens binary, nodes binary")
+    return packed.groupBy("section").applyInArrow(named, "head long, node long")
 
 
 def vector(counts: bytes, width: int) -> np.ndarray:
@@ -202,7 +247,7 @@ def verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame, docs: DataFra
     guests = seats.select(F.col("b").alias("node"), "a", "room")
     hosts = seats.select(F.col("a").alias("node"), "a", "room").distinct()
     lists = guests.unionByName(hosts).groupBy("node").agg(F.collect_list(F.struct("a", "room")).alias("rooms"))
-    wanted = lists.join(owners, "node").select("doc_id", "digest", "node", "rooms")
+    wanted = stored(lists.join(owners, "node").select("doc_id", "digest", "node", "rooms"), "wanted-sets")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +260,11 @@ def verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame, docs: DataFra
                 )
 
     room = "array<struct<a: long, room: int>>"
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    # few texts are wanted: the others go before any text is shuffled; the list is at most WANTED_NUMBERS long
+    number = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_NUMBERS)).cast("int")
+    numbers = wanted.select(number.alias("number")).distinct()
+    texts = docs.select("doc_id", "text").withColumn("number", number).join(F.broadcast(numbers), "number", "left_semi")
+    texts = texts.select("doc_id", "text", F.xxhash64("text").alias("digest"))
     same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["digest"] == wanted["digest"])
     # the same document may be there more than once
     sent = texts.join(wanted, same).select("node", "rooms", "text").dropDuplicates(["node"])

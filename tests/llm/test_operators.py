@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from claimlode.llm import chat, jaccard, mixing, neighbours, packing, pages, quality, repeats, sketches, urls
+from claimlode.llm import chat, common, jaccard, mixing, neighbours, packing, pages, quality, repeats, sketches, urls
 
 DOCS = "doc_id long, text string, source string, length long, size long, n_chars long"
 WORDS = [f"w{i}" for i in range(400)]
@@ -652,3 +652,52 @@ def test_places_put_common_shingles_last():
     for one, place in zip(hashes, found, strict=True):
         order = sorted(range(20), key=lambda i: (level[jaccard.bucket(one[i : i + 1])[0]], one[i]))
         assert [int(place[i]) for i in order] == list(range(20))
+
+
+def test_a_passage_of_many_texts_is_common_in_full_buckets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON_BITS", 8)
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(100)) + (" " + passage if i < 40 else "") for i in range(400)]
+    level = jaccard.commonness(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    # about 150 rare shingles in every bucket, 40 copies of the passage in some
+    shared, rare = (jaccard.text_sets(pa.array([text]))[0] for text in (passage, texts[-1]))
+    alone = [b for b in jaccard.bucket(shared).tolist() if jaccard.bucket(shared).tolist().count(b) == 1]
+    assert np.mean(level[alone] > 0) > 0.9
+    assert np.mean(level[jaccard.bucket(rare)] == 0) > 0.6
+
+
+def test_blocks_are_named_in_any_ranges_of_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SECTION_SHINGLES", 7)
+    monkeypatch.setattr(jaccard, "DEALT_SHINGLES", 5)
+    rng = random.Random(3)
+    every = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(50)]
+    sets = [(rng.randrange(-(1 << 63), 1 << 63), rng.sample(every, 4)) for _ in range(60)] + [(0, [])]
+    heads = {t: min(node for node, first in sets if t in first) for t in every if any(t in first for _, first in sets)}
+    want = {(heads[t], node) for node, first in sets for t in first if heads[t] != node}
+    frame = spark.createDataFrame(sets, "node long, first array<long>").repartition(3)
+    assert {tuple(r) for r in jaccard.blocks(frame).collect()} == want
+    assert jaccard.blocks(frame.where("false")).collect() == []
+
+
+def test_texts_not_wanted_go_before_they_are_shuffled(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2}x{j}" for j in range(40)) + f" y{i}") for i in range(40)], "doc_id long, text string")
+    described = jaccard.describe(docs, 75)
+    sets = described.select("node", "n", "counts", "first")
+    owners = described.select("node", "doc_id", "digest")
+    node = {r.doc_id: r.node for r in owners.collect()}
+    pairs = spark.createDataFrame([(node[0], node[1]), (node[1], node[2])], "a long, b long")
+    found = jaccard.verified(pairs, sets, owners, docs, 75)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin .*LeftSemi", plan)
+    assert [tuple(r) for r in found.collect()] == [(node[0], node[1])]
+
+
+def test_word_keys_part_the_same_words():
+    words = ["a", "A", "b", "abcdefgh", "ABCDEFGH", "abcdefgi", "abcdefghi", "x" * 32, "x" * 33, "X" * 33, "x" * 40, "y" * 70, "@[`{", "é", "É", "a\x00"]
+    data, offsets = common.utf8(pa.array([" ".join(words), "", None, "a"]))
+    starts, ends, rows = common.word_borders(data, offsets)
+    assert rows.tolist() == [0] * len(words) + [3]
+    one, other = common.word_keys(data, starts, ends).tolist(), common.word_hashes(data, starts, ends).tolist()
+    assert [one.index(x) for x in one] == [other.index(x) for x in other]
+    assert len(set(one)) == len(set(words)) - 3
