@@ -218,3 +218,42 @@ def test_blocks_of_probes_share_one_part_of_a_cell(data, trained, monkeypatch):
     monkeypatch.setattr(cells, "CHUNK_ROWS", 16)
     assert rows(cells.search_cells(queries, assigned, trained, 4, nprobe=2, block_queries=7)) == whole
     assert limits == [7 * cells.CELL_BLOCKS]
+
+
+@pytest.mark.parametrize("scan_values", [1 << 21, 6_000])
+def test_many_probes_are_scanned_and_not_dealt_out(data, trained, monkeypatch, scan_values):
+    queries, corpus = data
+    assigned = cells.assign_cells(corpus, trained)
+    dealt = {n: rows(cells.search_cells(queries, assigned, trained, 4, nprobe=n)) for n in (1, 3, 6)}
+    monkeypatch.setattr(cells, "grid_cut", None)
+    monkeypatch.setattr(cells, "DENSE_PROBES", 10)
+    monkeypatch.setattr(cells, "DENSE", 0)
+    monkeypatch.setattr(search, "SCAN_VALUES", scan_values)
+    for n, want in dealt.items():
+        assert rows(cells.search_cells(queries, assigned, trained, 4, nprobe=n, block_queries=70)) == want
+    exact = rows(search.topk_distinct(queries, corpus, "patent_id", 7))
+    assert rows(cells.search_cells_until(queries, assigned, trained, "patent_id", 7, nprobe=6)) == exact
+    # there are 60 patents, so all cells are read in the end
+    every = cells.search_cells_until(queries, assigned, trained, "patent_id", 61, nprobe=1)
+    assert rows(every) == rows(search.topk_distinct(queries, corpus, "patent_id", 61))
+
+
+def test_dense_probes_are_many_and_cover_many_pairs(spark, monkeypatch):
+    held = spark.createDataFrame([(0,)] * 90 + [(1,)] * 9 + [(2,)], "cell int")
+    near = lambda *probed: spark.createDataFrame([(i, list(probed)) for i in range(20)], "query_id long, cells array<int>")
+    assert cells._dense(near(0), held) == (False, 0)
+    monkeypatch.setattr(cells, "DENSE_PROBES", 10)
+    assert cells._dense(near(0), held) == (True, 1)
+    assert not cells._dense(near(1, 2), held)[0]
+    assert cells._dense(near(0, 1, 2), held) == (True, 3)
+    assert not cells._dense(near(0).where("false"), held)[0]
+
+
+def test_cells_of_claims_hold_no_text(spark, monkeypatch):
+    from claimlode.catalog.register import REGISTER
+
+    real, columns = cells.write_cells, []
+    monkeypatch.setattr(cells, "write_cells", lambda assigned, path: columns.append(assigned.columns) or real(assigned, path))
+    for name in ("self_retrieval_cells", "search_text_cells"):
+        assert REGISTER[name](spark, "/root/testdata/sf0.001").columns
+    assert columns == [["row_id", "patent_id", "embedding", "cell"]] * 2
