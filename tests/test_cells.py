@@ -254,6 +254,6 @@ def test_cells_of_claims_hold_no_text(spark, monkeypatch):
 
     real, columns = cells.write_cells, []
     monkeypatch.setattr(cells, "write_cells", lambda assigned, path: columns.append(assigned.columns) or real(assigned, path))
-    for name in ("self_retrieval_cells", "search_text_cells"):
+    for name in ("self_retrieval_cells", "external_overlap_cells", "search_text_cells"):
         assert REGISTER[name](spark, "/root/testdata/sf0.001").columns
-    assert columns == [["row_id", "patent_id", "embedding", "cell"]] * 2
+    assert columns == [["row_id", "patent_id", "embedding", "cell"]] * 3
